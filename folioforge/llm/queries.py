@@ -1,0 +1,71 @@
+"""Queries of the training-data operators and their SQL, by name."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioforge.llm import cooccurrence, mixture, split, tokenize
+from folioforge.session import table
+
+LISTS = ("entities", "keywords", "figures")
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    found = cooccurrence.cooccurrence(table(spark, sf, "build_graph"), key="node_id", lists=LISTS, min_count=5, min_support=0.003, min_lift=3.0)
+    return found.select("item_a", "item_b")
+
+
+def p1_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return cooccurrence.cooccurrence(table(spark, sf, "build_graph"), key="node_id", lists=LISTS)
+
+
+def _pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return split.split_oversized(table(spark, sf, "build_graph"), table(spark, sf, "split_limits"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _pieces(spark, sf).where(F.col("piece_no") == 1).select("node_id").distinct()
+
+
+def p6_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return _pieces(spark, sf)
+
+
+def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return tokenize.encode(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "ids")
+
+
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    targets = table(spark, sf, "mix_targets")
+    sizes = mixture.sized(table(spark, sf, "documents"), targets)
+    return mixture.mix(sizes, mixture.rates(sizes, targets))
+
+
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    targets = table(spark, sf, "mix_targets")
+    sizes = mixture.sized(table(spark, sf, "documents"), targets)
+    rated = mixture.rates(sizes, targets)
+    return mixture.report(mixture.mix(sizes, rated), rated)
+
+
+QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_report": p8_report}
+
+_BASKETS = r"""
+r AS (SELECT node_id, any_value(entities) AS e, any_value(keywords) AS k, any_value(figures) AS f FROM build_graph GROUP BY 1),
+i AS (SELECT DISTINCT node_id, item FROM (
+  SELECT node_id, lower(trim(regexp_replace(unnest(list_concat(coalesce(e, []), coalesce(k, []), coalesce(f, []))), '\s+', ' ', 'g'))) AS item FROM r) WHERE item <> ''),
+c AS (SELECT item, count(*) AS n FROM i GROUP BY 1),
+p AS (SELECT a.item AS item_a, b.item AS item_b, count(*) AS n_ab FROM i a JOIN i b ON a.node_id = b.node_id AND a.item < b.item GROUP BY 1, 2),
+t AS (SELECT p.*, ca.n AS n_a, cb.n AS n_b, (SELECT count(*) FROM r) AS n_records FROM p JOIN c ca ON ca.item = item_a JOIN c cb ON cb.item = item_b),
+l AS (SELECT *, n_ab * n_records::DOUBLE / (n_a::DOUBLE * n_b) AS lift FROM t)
+"""
+
+ORACLES = {
+    "p1_found": f"WITH {_BASKETS} SELECT item_a, item_b FROM l WHERE n_ab >= 5 AND n_ab / n_records::DOUBLE >= 0.003 AND lift >= 3",
+    "p1_pairs": f"WITH {_BASKETS} SELECT item_a, item_b, n_a, n_b, n_ab, n_records, lift FROM l",
+    "p6_found": r"""
+SELECT DISTINCT node_id FROM build_graph
+LEFT JOIN split_limits s ON s.file_format = lower(regexp_extract(source_file, '\.([^.]*)$', 1))
+WHERE length(text) > coalesce(s.max_chars, (SELECT max_chars FROM split_limits WHERE file_format = 'other'))""",
+}
