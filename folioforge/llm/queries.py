@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import cooccurrence, mixture, split, tokenize
+from folioforge.llm import cooccurrence, mixture, split, tokenize, truncation
 from folioforge.session import table
 
 LISTS = ("entities", "keywords", "figures")
@@ -49,7 +49,18 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return mixture.report(mixture.mix(sizes, rated), rated)
 
 
-QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_report": p8_report}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation.truncated(table(spark, sf, "documents")).where("is_cut").select("doc_id").distinct()
+
+
+def p9_report(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation.report(truncation.truncated(table(spark, sf, "documents")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_pairs, p6_found, p6_pieces, p7_ids, p8_mix, p8_report, p9_found, p9_report)
+}
 
 _BASKETS = r"""
 r AS (SELECT node_id, any_value(entities) AS e, any_value(keywords) AS k, any_value(figures) AS f FROM build_graph GROUP BY 1),
