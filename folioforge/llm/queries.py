@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import cooccurrence, mixture, split, tokenize, truncation
+from folioforge.llm import cooccurrence, mixture, near_duplicates, split, tokenize, truncation
 from folioforge.session import table
 
 LISTS = ("entities", "keywords", "figures")
@@ -20,6 +20,18 @@ def p1_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return cooccurrence.cooccurrence(table(spark, sf, "build_graph"), key="node_id", lists=LISTS)
 
 
+P5 = {"key": "node_id", "text": "text", "threshold": 0.7, "width": 3, "least_words": 20}
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = near_duplicates.near_duplicate_pairs(table(spark, sf, "build_graph"), **P5)
+    return pairs.select(F.col("id_a").alias("node_id_a"), F.col("id_b").alias("node_id_b"))
+
+
+def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates.near_duplicate_groups(table(spark, sf, "build_graph"), **P5).withColumnRenamed("id", "node_id")
+
+
 def _pieces(spark: SparkSession, sf: str) -> DataFrame:
     return split.split_oversized(table(spark, sf, "build_graph"), table(spark, sf, "split_limits"))
 
@@ -59,7 +71,7 @@ def p9_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_pairs, p6_found, p6_pieces, p7_ids, p8_mix, p8_report, p9_found, p9_report)
+    for f in (p1_found, p1_pairs, p5_found, p5_groups, p6_found, p6_pieces, p7_ids, p8_mix, p8_report, p9_found, p9_report)
 }
 
 _BASKETS = r"""
