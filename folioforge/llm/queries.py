@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import cooccurrence, mixture, near_duplicates, split, tokenize, truncation
+from folioforge.llm import cooccurrence, mixture, near_duplicates, page_noise, split, tokenize, truncation
 from folioforge.session import table
 
 LISTS = ("entities", "keywords", "figures")
@@ -20,6 +20,15 @@ def p1_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return cooccurrence.cooccurrence(table(spark, sf, "build_graph"), key="node_id", lists=LISTS)
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    fixed = page_noise.repaired(table(spark, sf, "build_graph"), table(spark, sf, "source_catalog"), with_text=False)
+    return fixed.select("node_id", F.explode("noise").alias("noise")).distinct()
+
+
+def p2_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return page_noise.repaired(table(spark, sf, "build_graph"), table(spark, sf, "source_catalog"))
+
+
 P5 = {"key": "node_id", "text": "text", "threshold": 0.7, "width": 3, "least_words": 20}
 
 
@@ -71,7 +80,7 @@ def p9_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_pairs, p5_found, p5_groups, p6_found, p6_pieces, p7_ids, p8_mix, p8_report, p9_found, p9_report)
+    for f in (p1_found, p1_pairs, p2_found, p2_clean, p5_found, p5_groups, p6_found, p6_pieces, p7_ids, p8_mix, p8_report, p9_found, p9_report)
 }
 
 _BASKETS = r"""
