@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import one_per_record
+from folioforge.session import cut_lineage
 
 SCANS = ("pdf",)
 KINDS = ("hyphenation", "misread", "running_header", "page_number")
@@ -64,11 +65,15 @@ PAGE_LINE = re.compile(rf"[\s\[(—–\-~*·.]*(?:(?:page|pg\.?|p\.)\s*)?{_NUMBE
 UPPER_ROMAN = re.compile(r"[^a-z\d]*[IVXLC]+[^a-z\d]*\Z")
 LEADING = re.compile(rf"\s*[\[(—–\-]*\s*(?:(?:page|pg\.?|p\.)\s*)?({_NUMBER})[\])—–\-.]*[\s|·]+(?=\S)", re.I)
 TRAILING = re.compile(rf"(?<=\S)[\s|·]+[\[(—–\-]*\s*(?:(?:page|pg\.?|p\.)\s*)?({_NUMBER})[\])—–\-.]*\s*\Z", re.I)
+NUMERAL = re.compile(rf"[\[(—–\-]*{_NUMBER}[\])—–\-.]*\Z", re.I)
+PAGE_WORD = re.compile(r"(?:page|pg|p)\b", re.I)
+HEADING_WORDS = frozenset(("chapter", "section", "hymn", "part", "book", "psalm", "lecture", "sermon"))
 HEADING_LINE = re.compile(r"\s*(?:(?:chapter|section|hymn|part|book|psalm|lecture|sermon)\s+[\divxlc]+\.?\s*\Z|\S.*\S(?:\s{2,}|\.{3,})\d+\s*\Z|[-*•]\s)", re.I)
 BROKEN_END = re.compile(r"([^\W\d_][^\s\W_]*)(?P<mark>[-‐‑=¬\xad])[ \t]*\Z")
 HYPHENS = "-‐‑=¬\xad"
 TOKEN = re.compile(r"[^\s\"“”—–,.;:?()\[\]\-‐‑=¬\xad]+")
 SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){2,}[^\W\d_](?![^\W_])")
+JOIN_ENDS = frozenset(("", " ", ".", ",", ";", ":", "?", '"'))
 SPACED_END = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){2,}[^\W\d_]\Z")
 INLINE = re.compile(r"([^\W\d_]+)([-‐‑=¬\xad]) +([a-zà-ÿ][^\W_]*)")
 LETTERS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -87,10 +92,11 @@ class Names:
 
     def __init__(self, *names: str | None) -> None:
         self.forms = [c for n in names if n and (c := canonical(n))]
-        self.longest = max(map(len, self.forms), default=0)
+        sizes = list(map(len, self.forms))
+        self.least, self.most = min(sizes, default=0) - 2, max(sizes, default=0) + 10  # confusions of two characters for one
 
     def match(self, text: str) -> bool:
-        if not self.forms or len(text) > 2 * self.longest + 12:
+        if not self.forms or not self.least <= len(text.replace(" ", "")) <= self.most:
             return False
         c = canonical(text)
         return any(c == f or (abs(len(c) - len(f)) <= 2 and len(f) >= 8 and SequenceMatcher(None, c, f, autojunk=False).ratio() >= 0.9) for f in self.forms)
@@ -100,18 +106,20 @@ def line_code(line: str, names: Names, width: int) -> int:
     s = line.strip()
     if not s:
         return 0
-    if len(s) <= 100:
+    n = len(s)
+    if n <= 100:
         if names.match(s):
             return 1
-        for cut in (LEADING, TRAILING):
-            m = cut.search(s) if cut is TRAILING else cut.match(s)
-            if m and names.match(s[: m.start()] + s[m.end() :]):
-                return 2
-        if PAGE_LINE.match(s) and not (UPPER_ROMAN.match(s) and not any(ch.isdigit() for ch in s)):
+        head, tail = s.split(None, 1)[0], s.rsplit(None, 1)[-1]
+        if tail is not s and (NUMERAL.match(tail) or NUMERAL.match(head) or PAGE_WORD.match(head)):
+            for m in (LEADING.match(s), TRAILING.search(s)):
+                if m and names.match(s[: m.start()] + s[m.end() :]):
+                    return 2
+        if n <= 24 and PAGE_LINE.match(s) and not (UPPER_ROMAN.match(s) and not any(ch.isdigit() for ch in s)):
             return 3
-        if HEADING_LINE.match(line):
+        if (s[-1].isdigit() or s[0] in "-*•" or head.lower() in HEADING_WORDS) and HEADING_LINE.match(line):
             return 4
-    return 5 if len(s) >= 0.6 * width else 6
+    return 5 if n >= 0.6 * width else 6
 
 
 def label(codes: list[int], emit: np.ndarray, move: np.ndarray) -> list[int]:
@@ -129,12 +137,29 @@ def label(codes: list[int], emit: np.ndarray, move: np.ndarray) -> list[int]:
     return states[::-1]
 
 
+class Labels:
+    """label() with its results kept, since few sequences of codes make up most texts."""
+
+    def __init__(self, emit: np.ndarray = EMIT, move: np.ndarray = MOVE) -> None:
+        self.emit, self.move, self.known = emit, move, {}
+
+    def __call__(self, codes: list[int]) -> list[int]:
+        key = bytes(codes)
+        states = self.known.get(key)
+        if states is None:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            states = self.known[key] = label(codes, self.emit, self.move)
+        return states
+
+
 class Words:
     """The vocabulary and what can be put back into it."""
 
     def __init__(self, known: frozenset[str], compounds: frozenset[str]) -> None:
         self.known, self.compounds = known, compounds
         self.cache: dict[str, str | None] = {}
+        self.plain: set[str] = set()  # tokens as they stand in texts that need no look
 
     def word(self, x: str) -> bool:
         return x in self.known
@@ -178,7 +203,7 @@ def _match_case(word: str, like: str) -> str:
     return word.upper() if like.isupper() and len(like) > 1 else word.capitalize() if like[:1].isupper() else word
 
 
-def repair(text: str, names: Names, words: Words, emit: np.ndarray = EMIT, move: np.ndarray = MOVE) -> tuple[str, set[str]]:
+def repair(text: str, names: Names, words: Words, labels: Labels) -> tuple[str, set[str]]:
     """(clean text, kinds of noise)."""
     noise: set[str] = set()
     text = html.unescape(text) if "&" in text else text
@@ -186,19 +211,19 @@ def repair(text: str, names: Names, words: Words, emit: np.ndarray = EMIT, move:
     if len(lines) > 1:
         width = max(map(len, lines))
         codes = [line_code(x, names, width) for x in lines]
-        states = label(codes, emit, move)
+        states = labels(codes)
     else:
         codes, states = [line_code(text, names, len(text) or 1)], [BODY]
         if codes[0] in (1, 2, 3):
             states = [HEADER if codes[0] < 3 else PAGE]
     paragraphs: list[str] = []
-    now, gap = "", False
+    held: list[str] = []  # lines of the open paragraph; the last one may still take the rest of a word
+    gap = False
 
     def close() -> None:
-        nonlocal now
-        if now.strip():
-            paragraphs.append(now.strip())
-        now = ""
+        if held:
+            paragraphs.append(" ".join(held).strip())
+            held.clear()
 
     for line, code, state in zip(lines, codes, states):
         if code in (1, 2) and state == HEADER:
@@ -215,33 +240,38 @@ def repair(text: str, names: Names, words: Words, emit: np.ndarray = EMIT, move:
             gap = False
         else:
             body = line.strip()
-            if gap and now and now.rstrip()[-1:] in ".!?\"”’)" and not body[:1].islower():
+            if gap and held and held[-1][-1:] in ".!?\"”’)" and not body[:1].islower():
                 close()
             gap = False
-            if not now:
-                now = body
-                continue
-            end, start = BROKEN_END.search(now), LETTERS.match(body)
-            if end and start:
-                a = end.group(1)
-                whole = words.rejoined(a.lower(), start.group().lower(), True)
-                if whole:
-                    noise.add("hyphenation")
-                    now = now[: end.start("mark")] + ("-" if "-" in whole else "") + body
-                    continue
-            tail = LETTERS.search(now[-40:].split(" ")[-1]) if not end else None
-            whole_start = start and body[start.end() : start.end() + 1] in ("", " ", ".", ",", ";", ":", "?", '"')
-            if tail and whole_start and now.endswith(tail.group()) and body[:1].islower() and not SPACED_END.search(now):
-                if words.rejoined(tail.group().lower(), start.group().lower(), False):
-                    noise.add("hyphenation")
-                    now += body
-                    continue
-            now += " " + body
+            whole = _joined(held[-1], body, words) if held else None
+            if whole is None:
+                held.append(body)
+            else:
+                noise.add("hyphenation")
+                held[-1] = whole
     close()
-    out = []
-    for p in paragraphs:
-        out.append(_words_of(p, words, noise))
-    return "\n\n".join(out), noise
+    return "\n\n".join(_words_of(p, words, noise) for p in paragraphs), noise
+
+
+def _joined(above: str, body: str, words: Words) -> str | None:
+    """The two lines as one if a word is broken between them."""
+    start = LETTERS.match(body)
+    if not start:
+        return None
+    if above[-1] in HYPHENS:
+        last = above.rsplit(None, 1)[-1]
+        end = BROKEN_END.search(last)
+        if end:
+            whole = words.rejoined(end.group(1).lower(), start.group().lower(), True)
+            if whole:
+                return above[: len(above) - len(last) + end.start("mark")] + ("-" if "-" in whole else "") + body
+        return None
+    if body[0].islower() and body[start.end() : start.end() + 1] in JOIN_ENDS:
+        last = above.rsplit(None, 1)[-1]
+        tail = LETTERS.search(last)
+        if tail and tail.end() == len(last) and words.rejoined(tail.group().lower(), start.group().lower(), False) and not SPACED_END.search(above[-80:]):
+            return above + body
+    return None
 
 
 def _words_of(text: str, words: Words, noise: set[str]) -> str:
@@ -270,9 +300,15 @@ def _words_of(text: str, words: Words, noise: set[str]) -> str:
         text = INLINE.sub(inline, text)
     if SPACED.search(text):
         text = SPACED.sub(spaced, text)
-    odd = [m for m in TOKEN.finditer(text) if not words.word(m.group().lower().strip("'’!"))]
-    if not odd:
+    strange = set(TOKEN.findall(text)) - words.plain
+    for raw in list(strange):
+        if words.word(raw.lower().strip("'’!")):
+            strange.discard(raw)
+            if len(words.plain) < 500_000:
+                words.plain.add(raw)
+    if not strange:
         return text
+    odd = [m for m in TOKEN.finditer(text) if m.group() in strange]
     out, at, skip = [], 0, -1
     for m in odd:
         if m.start() < skip:
@@ -319,7 +355,7 @@ def vocabulary(records: DataFrame, text: str, word_share: float, formats: tuple[
     """(words, compounds at a hyphen) of the texts that aren't scans, of all texts if every one is a scan."""
     t = records.select(F.lower(F.col(text)).alias("t"), is_scan(F.col("source_file"), formats).alias("scan")).where(F.col("t").isNotNull())
     word = F.regexp_extract_all("t", F.lit(r"(?U)\p{L}+(?:['’]\p{L}+)*(?:-\p{L}+)*"), F.lit(0))
-    counts = t.select("scan", F.explode(word).alias("w")).groupBy("w").agg(F.count_if("scan").alias("n_scan"), F.count_if(~F.col("scan")).alias("n_clean"))
+    counts = cut_lineage(t.select("scan", F.explode(word).alias("w")).groupBy("w").agg(F.count_if("scan").alias("n_scan"), F.count_if(~F.col("scan")).alias("n_clean")))
     total = counts.agg(F.sum("n_clean").alias("c"), F.sum("n_scan").alias("s")).first()
     use, n = ("n_clean", total.c) if total.c else ("n_scan", total.s or 0)
     kept = [r.w for r in counts.where(F.col(use) >= max(2.0, word_share * n)).select("w").collect()]  # at most 1 / word_share rows
@@ -335,23 +371,45 @@ def _with_names(records: DataFrame, catalog: DataFrame, key: str, text: str, for
     return chosen.join(names, "source_file", "left").select("id", "text", "title", "short_title", "author")
 
 
+class _NameCache:
+    def __init__(self) -> None:
+        self.known: dict[tuple, Names] = {}
+
+    def __call__(self, *names: str | None) -> Names:
+        if names not in self.known:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            self.known[names] = Names(*names)
+        return self.known[names]
+
+
 def _train(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The model re-estimated from its own labels over the whole corpus; the counts are 5 x 7 and 5 x 5 cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[bytes] = Counter()
+        labels, cache = Labels(), _NameCache()
         cells: Counter[int] = Counter()
+
+        def add() -> None:
+            for codes, n in seen.items():
+                states = labels(list(codes))
+                for s, c in zip(states, codes):
+                    cells[s * 7 + c] += n
+                for a, b in zip(states, states[1:]):
+                    cells[35 + a * 5 + b] += n
+            seen.clear()
+
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(1, 5)]
             for text, *names in zip(*columns):
                 if "\n" in text or "&#10;" in text:
-                    parts = html.unescape(text).split("\n")
-                    width = max(map(len, parts))
-                    codes = [line_code(x, Names(*names), width) for x in parts]
-                    states = label(codes, EMIT, MOVE)
-                    for s, c in zip(states, codes):
-                        cells[s * 7 + c] += 1
-                    for a, b in zip(states, states[1:]):
-                        cells[35 + a * 5 + b] += 1
+                    parts = (html.unescape(text) if "&" in text else text).split("\n")
+                    width, book = max(map(len, parts)), cache(*names)
+                    seen[bytes([line_code(x, book, width) for x in parts])] += 1
+            if len(seen) > 100_000:
+                add()
+        add()
         yield pa.RecordBatch.from_arrays([pa.array(list(cells), pa.int32()), pa.array(list(cells.values()), pa.int64())], names=["cell", "n"])
 
     counts = np.zeros(60)
@@ -377,18 +435,12 @@ def repaired(
     emit, move = _train(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(known, compounds)
-        cache: dict[tuple, Names] = {}
+        words, labels, cache = Words(known, compounds), Labels(emit, move), _NameCache()
         for batch in batches:
             found, clean = [], []
             columns = [batch.column(k).to_pylist() for k in range(1, 5)]
             for body, *names in zip(*columns):
-                names = tuple(names)
-                if names not in cache:
-                    if len(cache) > 100_000:
-                        cache.clear()
-                    cache[names] = Names(*names)
-                fixed, noise = repair(body, cache[names], words, emit, move)
+                fixed, noise = repair(body, cache(*names), words, labels)
                 found.append(sorted(noise))
                 clean.append(fixed if with_text else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string())), pa.array(clean, pa.string())], names=["id", "noise", "clean_text"])
