@@ -75,7 +75,7 @@ def whole_terms(text: Column, terms: Sequence[str]) -> Column:
 
 def split_items(text: Column) -> Column:
     """A comma-separated field as its distinct trimmed items without blanks, in order."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def trimmed_items(items: Column) -> Column:
@@ -90,7 +90,7 @@ def word_count(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Trimmed sentences: the text is cut after `.`, `!` or `?` with white space behind; blank ones are dropped."""
-    return F.filter(F.transform(F.split(text, r"(?<=[.!?])[ \t\n\r]+"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?])[ \t\n\r]+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def safe_name(text: Column) -> Column:

@@ -45,7 +45,7 @@ def merge_with_prefix(graphs: DataFrame, graph: str, node: str) -> DataFrame:
     """
     pairs = cut_lineage(graphs.where(F.col(node).isNotNull() & F.col(graph).isNotNull()).select(graph, node).distinct())
     # a graph can only clash over ids that another graph holds too
-    shared = cut_lineage(pairs.join(pairs.groupBy(node).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(node), node, "left_semi"))
+    shared = cut_lineage(pairs.join(pairs.groupBy(node).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(node), node, "left_semi"))
     names = [r[0] for r in shared.select(graph).distinct().orderBy(graph).limit(10_001).collect()]
     if len(names) > 10_000:
         raise ValueError("more than 10,000 graphs with shared ids")
