@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import vector
-from folioforge.session import cut_lineage
+from folioforge.operators.numbering import number_rows
 
 METRICS = {"l2sq": vector.squared_l2, "cosine": lambda a, b: 1 - vector.cosine(a, b), "dot": lambda a, b: -vector.dot(a, b)}
 
@@ -77,13 +77,8 @@ def append_vectors(existing: DataFrame, new: DataFrame, dimension: int, *, key:
     """existing with the rows of new under ids that go on from the largest one; a vector of another length is an error."""
     start = F.coalesce(existing.select(F.max(key)).scalar(), F.lit(-1))
     checked = F.when(F.size(embedding) == dimension, F.col(embedding)).otherwise(F.raise_error(F.concat(F.lit(f"dimension is not {dimension}: "), F.size(embedding))))
-    # consecutive ids without one task for all rows: the place in the partition plus the sizes of the partitions before
-    held = cut_lineage(new.drop(key).withColumn("__m", F.monotonically_increasing_id()))
-    part = F.shiftright("__m", 33)
-    sizes = held.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a partition
-    numbered = held.withColumn("__p", part).join(before, "__p").withColumn(key, start + 1 + F.col("__before") + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1)))
-    return existing.unionByName(numbered.withColumn(embedding, checked).drop("__m", "__p", "__n", "__before"), allowMissingColumns=True)
+    numbered = number_rows(new.drop(key), "__n").withColumn(key, start + 1 + F.col("__n")).withColumn(embedding, checked)
+    return existing.unionByName(numbered.drop("__n"), allowMissingColumns=True)
 
 
 def centroids(vectors: DataFrame, group: str, embedding: str = "embedding") -> DataFrame:
