@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import one_per_record, squeezed
+from folioforge.operators.numbering import number_rows
 from folioforge.session import cut_lineage
 
 BLOCK = 1024
@@ -45,8 +46,8 @@ class _Gram:
     def __init__(self) -> None:
         self.sums: dict[tuple[int, int], np.ndarray] = {}
 
-    def add(self, rows: np.ndarray, codes: np.ndarray, n: int) -> None:
-        """rows, codes: the non-zero cells of n records, codes as int64."""
+    def add(self, rows: np.ndarray, codes: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+        """rows, codes: the non-zero cells of n records, codes as int64. Yields the sums so far whenever they are too many."""
         blocks = codes // BLOCK
         dense: dict[int, np.ndarray] = {}
         for b in np.unique(blocks):
@@ -64,9 +65,8 @@ class _Gram:
                         self.sums[a, b] += product
                     else:
                         self.sums[a, b] = product
-
-    def full(self) -> bool:
-        return len(self.sums) * BLOCK * BLOCK > CELLS
+                    if len(self.sums) * BLOCK * BLOCK > CELLS:
+                        yield from self.cells()
 
     def cells(self) -> Iterator[pa.RecordBatch]:
         for (a, b), s in self.sums.items():
@@ -93,9 +93,7 @@ def _gram(coded: DataFrame, names: list[str] | None) -> DataFrame:
                     values = pc.index_in(values, known)
                 kept = pc.is_valid(values).to_numpy(zero_copy_only=False)
                 codes = pc.fill_null(values, 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                gram.add(rows[kept], codes[kept], len(lists))
-                if gram.full():
-                    yield from gram.cells()
+                yield from gram.add(rows[kept], codes[kept], len(lists))
         yield from gram.cells()
 
     return coded.mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -120,8 +118,8 @@ def cooccurrence(
         codes = spark.createDataFrame(list(enumerate(names)), "code bigint, item string")
         cells = _gram(held.select("items"), names)
     else:
-        codes = cut_lineage(counts.select(F.monotonically_increasing_id().alias("code"), "item"))
-        numbered = held.select(F.monotonically_increasing_id().alias("record"), F.explode("items").alias("item"))
+        codes = cut_lineage(number_rows(counts.select("item"), "code"))
+        numbered = held.withColumn("record", F.monotonically_increasing_id()).select("record", F.explode("items").alias("item"))
         cells = _gram(numbered.join(codes, "item").groupBy("record").agg(F.collect_list("code").alias("codes")).select("codes"), None)
     cells = cut_lineage(cells)
     single = cells.where(F.col("a") == F.col("b")).select(F.col("a").alias("code"), "n").join(codes, "code")

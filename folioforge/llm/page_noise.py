@@ -108,13 +108,13 @@ def line_code(line: str, names: Names, width: int) -> int:
         return 0
     n = len(s)
     if n <= 100:
-        if names.match(s):
-            return 1
         head, tail = s.split(None, 1)[0], s.rsplit(None, 1)[-1]
         if tail is not s and (NUMERAL.match(tail) or NUMERAL.match(head) or PAGE_WORD.match(head)):
             for m in (LEADING.match(s), TRAILING.search(s)):
                 if m and names.match(s[: m.start()] + s[m.end() :]):
                     return 2
+        if names.match(s):
+            return 1
         if n <= 24 and PAGE_LINE.match(s) and not (UPPER_ROMAN.match(s) and not any(ch.isdigit() for ch in s)):
             return 3
         if (s[-1].isdigit() or s[0] in "-*•" or head.lower() in HEADING_WORDS) and HEADING_LINE.match(line):

@@ -28,7 +28,7 @@ REMNANT = re.compile(r"(?:\s|…|\.{2,}|\[…\]|\[\.\.\.\]|�|<[^<>\s]{0,12}$|&
 BROKEN = re.compile(r"(?:�|<[^<>]{0,12}|&#?\w{0,8})\s*\Z")
 CLOSERS = "\"'”’»›)]}"
 TOKEN = re.compile(r"[^\W\d_]+(?:['’\-‐][^\W\d_]+)*|\d|\n+|[^\w\s]|_")
-BOUNDARY = re.compile(rf"[.!?…][{re.escape(CLOSERS)}]*[^\w\s.,;:!?…]*(?=[ \t]*\n|\s+(?![a-zà-ÿ0-9])|\s*\Z)|\n[ \t]*\n\s*")
+BOUNDARY = re.compile(rf"[.!?…][{re.escape(CLOSERS)}]*[^\w\s.,;:!?…]*(?:\s*[☀-➿🀀-🫿️‍])*(?=[ \t]*\n|\s+(?![a-zà-ÿ0-9])|\s*\Z)|\n[ \t]*\n\s*")
 ORDERS = (10_000, 9, 5, 3, 2, 1)  # context lengths in tokens; the first reaches to the start of the sentence
 LEAST = 4  # sightings that a context needs
 OPEN = ("bare", "ellipsis", "broken")
