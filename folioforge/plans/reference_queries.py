@@ -259,28 +259,29 @@ def prefix_on_conflict_merge(spark, sf):
     return graph.merge_with_prefix(table(spark, sf, "simple_gml_to_csv").select("source_file", "label"), "source_file", "label")
 
 
-STRONG = f"{TYPED}, strong AS (SELECT src, dst, sum(weight)::BIGINT AS weight FROM typed GROUP BY 1, 2 HAVING sum(weight) >= 3)"
+def _strong(least: int) -> str:
+    return f"{TYPED}, strong AS (SELECT src, dst, sum(weight)::BIGINT AS weight FROM typed WHERE src <> dst GROUP BY 1, 2 HAVING sum(weight) >= {least})"
 
 
-def _strong(spark, sf):
-    return typed_edges(spark, sf).groupBy("src", "dst").agg(F.sum("weight").alias("weight")).where("weight >= 3")
+def _weighted_pairs(spark, sf, least):
+    return typed_edges(spark, sf).where("src <> dst").groupBy("src", "dst").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= least)
 
 
-@query(f"""WITH RECURSIVE {STRONG}, s AS (SELECT src AS a, dst AS b FROM strong UNION SELECT dst, src FROM strong),
+@query(f"""WITH RECURSIVE {_strong(2)}, s AS (SELECT src AS a, dst AS b FROM strong UNION SELECT dst, src FROM strong),
 reach AS (SELECT a AS node, a AS other FROM s UNION SELECT r.node, s.b FROM reach r JOIN s ON s.a = r.other)
 SELECT node, min(other) AS component FROM reach GROUP BY 1""")
 def connected_component_labels(spark, sf):
-    return connected_components(_strong(spark, sf))
+    return connected_components(_weighted_pairs(spark, sf, 2))
 
 
-@query(f"""WITH RECURSIVE {STRONG}, s AS (SELECT src AS a, dst AS b, src || chr(1) || dst AS e, weight AS w FROM strong UNION ALL SELECT dst, src, src || chr(1) || dst, weight FROM strong WHERE src <> dst),
-st AS (SELECT DISTINCT unique_id AS node FROM build_graph WHERE source_file LIKE 'The_A%'),
+@query(f"""WITH RECURSIVE {_strong(1)}, s AS (SELECT src AS a, dst AS b, src || chr(1) || dst AS e, weight AS w FROM strong UNION ALL SELECT dst, src, src || chr(1) || dst, weight FROM strong WHERE src <> dst),
+st AS (SELECT DISTINCT unique_id AS node FROM build_graph WHERE source_file LIKE 'The_Ample_C%'),
 t AS (SELECT node AS start, node AS here, []::VARCHAR[] AS used, 0::BIGINT AS total, 0 AS n FROM st
   UNION ALL SELECT start, b, list_append(used, e), total + w, n + 1 FROM t JOIN s ON s.a = t.here WHERE n < 3 AND NOT list_contains(used, e))
 SELECT start, here AS finish, n AS n_hops, total AS weight FROM t WHERE n >= 1""")
 def k_hop_paths(spark, sf):
-    starts = table(spark, sf, "build_graph").where(F.col("source_file").startswith("The_A")).select(F.col("unique_id").alias("node")).distinct()
-    return graph.trails(_strong(spark, sf), starts, 3)
+    starts = table(spark, sf, "build_graph").where(F.col("source_file").startswith("The_Ample_C")).select(F.col("unique_id").alias("node")).distinct()
+    return graph.trails(_weighted_pairs(spark, sf, 1), starts, 3)
 
 
 @query("""SELECT min(doc_id) AS doc_id, count(*) AS n_copies, length(any_value(text)) AS n_chars FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1""")
