@@ -29,11 +29,22 @@ BROKEN = re.compile(r"(?:�|<[^<>]{0,12}|&#?\w{0,8})\s*\Z")
 CLOSERS = "\"'”’»›)]}"
 TOKEN = re.compile(r"[^\W\d_]+(?:['’\-‐][^\W\d_]+)*|\d|\n+|[^\w\s]|_")
 BOUNDARY = re.compile(rf"[.!?…][{re.escape(CLOSERS)}]*[^\w\s.,;:!?…]*(?:\s*[☀-➿🀀-🫿️‍])*(?=[ \t]*\n|\s+(?![a-zà-ÿ0-9])|\s*\Z)|\n[ \t]*\n\s*")
-ORDERS = (10_000, 9, 5, 3, 2, 1)  # context lengths in tokens; the first reaches to the start of the sentence
+ORDERS = (64, 9, 5, 3, 2, 1)  # context lengths in tokens; the first reaches to the start of all but huge sentences
 LEAST = 4  # sightings that a context needs
 OPEN = ("bare", "ellipsis", "broken")
 SHORT = 8  # tokens of a last line that may count as an ending without a mark: signature, place, colophon
-FLUSH = 1 << 19
+#: Sentences and contexts that a task holds before it hands over its counts: some 100 MB each.
+FLUSH, HELD = 1 << 18, 400_000
+
+
+def without_remnant(text: str) -> str:
+    """The text without white space and remnants at its end; looks at the end only, so long texts cost no more."""
+    while True:
+        text = text.rstrip()
+        m = REMNANT.search(text, max(0, len(text) - 80))
+        if m is None:
+            return text
+        text = text[: m.start()]
 
 
 def reduce_tokens(tokens: list[str], frequent: frozenset[str]) -> list[str]:
@@ -88,7 +99,7 @@ def tail(text: str | None) -> tuple[str, str]:
     if text is None or not text.strip():
         return "empty", ""
     stripped = text.rstrip()
-    body = REMNANT.sub("", text)
+    body = without_remnant(text)
     if not body:
         return "ellipsis", ""
     last, marked = segments(body)[-1]
@@ -107,9 +118,15 @@ def _count_contexts(docs: DataFrame, frequent: frozenset[str]) -> DataFrame:
         seen: Counter[tuple[str, int]] = Counter()
         words: Counter[tuple[str, int]] = Counter()
 
-        def counted() -> pa.RecordBatch:
+        def emit(sums: dict[int, list[int]]) -> pa.RecordBatch:
+            cells = np.array(list(sums.values()), np.int64).reshape(-1, 3)
+            batch = pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), *(pa.array(cells[:, j]) for j in range(3))], names=["context", "n_end", "n_tail", "n_on"])
+            sums.clear()
+            return batch
+
+        def counted() -> Iterator[pa.RecordBatch]:
             sums: dict[int, list[int]] = {}
-            for (line, kind), n in seen.items():
+            for (line, kind), n in sorted(seen.items()):  # neighbours share their beginnings
                 reduced = line.split(" ")
                 close = len(reduced)  # a sentence may end before its closing quotes
                 while close > 1 and reduced[close - 1] in CLOSERS:
@@ -119,18 +136,19 @@ def _count_contexts(docs: DataFrame, frequent: frozenset[str]) -> DataFrame:
                     if which != 1 or len(reduced) <= SHORT:
                         for c in contexts(reduced, i):
                             sums.setdefault(_key(c), [0, 0, 0])[which] += n
+                if len(sums) > HELD:
+                    yield emit(sums)
             for (word, kind), n in words.items():
                 sums.setdefault(_key(word), [0, 0, 0])[kind] += n
             seen.clear()
             words.clear()
-            cells = np.array(list(sums.values()), np.int64).reshape(-1, 3)
-            return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), *(pa.array(cells[:, j]) for j in range(3))], names=["context", "n_end", "n_tail", "n_on"])
+            yield emit(sums)
 
         for batch in batches:
             for t, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if t is None:
                     continue
-                for body, marked in segments(REMNANT.sub("", t)):
+                for body, marked in segments(without_remnant(t)):
                     tokens = TOKEN.findall(body.strip())
                     if tokens:
                         seen[" ".join(reduce_tokens(tokens, frequent)), 0 if marked else 1] += 1
@@ -140,9 +158,9 @@ def _count_contexts(docs: DataFrame, frequent: frozenset[str]) -> DataFrame:
                             words["w " + tokens[-1].lower(), 0] += 1
                         for w in tokens[:-1]:
                             words["w " + w.lower(), 2] += 1
-            if len(seen) + len(words) > FLUSH:
-                yield counted()
-        yield counted()
+                if len(seen) + len(words) > FLUSH:
+                    yield from counted()
+        yield from counted()
 
     parts = docs.select("text", "lang").mapInArrow(run, "context bigint, n_end bigint, n_tail bigint, n_on bigint")
     return parts.groupBy("context").agg(*(F.sum(c).alias(c) for c in ("n_end", "n_tail", "n_on")))
