@@ -244,6 +244,11 @@ def score(docs: DataFrame, *, frequent_share: float = 0.0021, least_share_of_lan
     of_word = F.when(known, F.greatest(F.log((word["n_on"] + 1) / (word["n_end"] + 1)) - base, F.lit(-3.0))).otherwise(F.lit(0.0))
     of_letters = F.when(F.col("word").isNotNull(), F.log((F.col("n_longer") + 0.5) / (F.col("n_word") + 0.5))).otherwise(F.lit(0.0))
     ratio = of_context + of_word - base
+    # a cut falls before the closing mark of a sentence once in as many characters as a sentence has, so an end there speaks
+    # no louder against it; a signature or colophon ends nothing but a text
+    chars_in_token = 1.7  # log of some 5.5 characters
+    at_sentence_end = chosen.isNotNull() & (chosen["n_end"] >= chosen["n_tail"])
+    ratio = F.when(at_sentence_end, F.greatest(ratio, -(base + chars_in_token))).otherwise(ratio)
     ratio = F.when(of_letters > 1, F.greatest(ratio, of_letters + 2)).otherwise(ratio)
     open_ = F.col("kind").isin(*OPEN)
     return joined.select("row", "doc_id", "source", "lang", "kind", "n_chars", "n_bytes", F.when(open_, F.greatest(F.least(ratio, F.lit(12.0)), F.lit(-12.0))).alias("ratio"))
@@ -260,19 +265,33 @@ def _limits(scored: DataFrame) -> DataFrame:
 def _thresholds(binned: DataFrame) -> DataFrame:
     """(source, lang, kind, at_limit, prior): log-odds that an open end of this group is a cut, by expectation maximisation.
 
-    A group has at most 49 bins; languages and kinds of a source are few, so a task holds a small table.
+    A group has at most 49 bins; languages and kinds of a source are few, so a task holds a small table. At a limit the
+    prior is at least what the counts say: the ends there against those endings that the source's other lengths let expect
+    at one length (n_lengths: lengths in use).
     """
     import pandas as pd
 
+    def rate_of(g: pd.DataFrame) -> float:
+        ratio, n = g["bin"].to_numpy() / 2.0, g["n"].to_numpy(float)
+        rate = 0.5
+        for _ in range(40):
+            p = 1 / (1 + np.exp(-(ratio + np.log(rate / (1 - rate)))))
+            rate = (float((p * n).sum()) + 1) / (n.sum() + 2)
+        return rate
+
     def fit(table: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (kind, at_limit), g in table.groupby(["kind", "at_limit"]):
-            ratio, n = g["bin"].to_numpy() / 2.0, g["n"].to_numpy(float)
-            rate = 0.5
-            for _ in range(40):
-                p = 1 / (1 + np.exp(-(ratio + np.log(rate / (1 - rate)))))
-                rate = (float((p * n).sum()) + 1) / (n.sum() + 2)
-            out.append((table["source"].iloc[0], kind, bool(at_limit), float(np.log(rate / (1 - rate)))))
+        for kind, g in table.groupby("kind"):
+            usual, limit = g[~g["at_limit"]], g[g["at_limit"]]
+            rate = rate_of(usual) if len(usual) else 0.5
+            base = float(np.log(rate / (1 - rate)))
+            out.append((table["source"].iloc[0], kind, False, base))
+            if len(limit):
+                ratio, n = usual["bin"].to_numpy() / 2.0, usual["n"].to_numpy(float)
+                whole = float((n * (ratio > -6) / (1 + np.exp(ratio + base))).sum())  # complete, and not by a colophon
+                rate = rate_of(limit)
+                counted = np.log((limit["n"].sum() + 1) / (whole / max(1, table["n_lengths"].iloc[0]) + 0.05))
+                out.append((table["source"].iloc[0], kind, True, max(float(np.log(rate / (1 - rate))), float(counted))))
         return pd.DataFrame(out, columns=["source", "kind", "at_limit", "prior"])
 
     return binned.groupBy("source").applyInPandas(fit, "source string, kind string, at_limit boolean, prior double")
@@ -296,7 +315,8 @@ def truncated(docs: DataFrame) -> DataFrame:
     open_ = open_.join(b, F.col("source").eqNullSafe(F.col("s_by_bytes")) & (F.col("n_bytes") == F.col("v_by_bytes")), "left")
     open_ = open_.withColumn("at_limit", F.coalesce("by_chars", "by_bytes", F.lit(False))).select("row", "source", "kind", "at_limit", "ratio")
     binned = open_.groupBy("source", "kind", "at_limit", F.round(F.col("ratio") * 2).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    priors = _thresholds(binned)
+    lengths = scored.groupBy(F.col("source").alias("l_source")).agg(F.count_distinct("n_chars").alias("n_lengths"))
+    priors = _thresholds(binned.join(lengths, F.col("source").eqNullSafe(F.col("l_source"))).drop("l_source"))
     p = priors.select(F.col("source").alias("p_source"), F.col("kind").alias("p_kind"), F.col("at_limit").alias("p_limit"), "prior")
     odds = open_.join(p, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("kind") == F.col("p_kind")) & (F.col("at_limit") == F.col("p_limit"))).select("row", (F.col("ratio") + F.col("prior")).alias("odds"))
     out = scored.drop("ratio", "n_chars", "n_bytes").join(odds, "row", "left")
