@@ -21,6 +21,7 @@ def tidy_layout(text: Column) -> Column:
 
     A quote counts as an opening and as a closing one, so blanks on both of its sides go.
     """
+    # fixed values: the patterns and their order decide the result
     steps = (
         (r"\t", " "),
         (r" {2,}", " "),

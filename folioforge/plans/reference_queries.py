@@ -290,6 +290,40 @@ def dedup_by_text(spark, sf):
     return rows.where("n_copies > 1").select("doc_id", "n_copies", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+@query("""WITH e AS (SELECT source_file, count(*) AS n_rows, count(DISTINCT id) AS n_ids, round(avg(length(text)), 6) AS mean_chars FROM simple_gml_to_csv GROUP BY 1) SELECT *, n_rows - n_ids AS n_repeated FROM e""")
+def export_summary(spark, sf):
+    """Totals and means of each export file."""
+    out = table(spark, sf, "simple_gml_to_csv").groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"), F.round(F.avg(F.char_length("text")), 6).alias("mean_chars"))
+    return out.withColumn("n_repeated", F.col("n_rows") - F.col("n_ids"))
+
+
+@query("""SELECT count(*) AS n_candidates, count(DISTINCT {'a': least(node1, node2), 'b': greatest(node1, node2)}) AS n_unique FROM edges WHERE node1 IS NOT NULL AND node2 IS NOT NULL""")
+def edge_dedup_ratio(spark, sf):
+    per_pair = shared_edges.unordered(table(spark, sf, "edges")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    return per_pair.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_candidates"), F.count(F.lit(1)).alias("n_unique"))
+
+
+@query(f"""WITH {CHUNKS}, {PAIRS}, t AS (SELECT unique_id AS node FROM chunks WHERE text LIKE '%Grokalm Vepam%'), e AS (SELECT src, dst FROM pairs UNION ALL SELECT dst, src FROM pairs)
+SELECT e.src AS node, e.dst AS neighbour, c.source_file FROM e JOIN t ON t.node = e.src JOIN chunks c ON c.unique_id = e.dst""")
+def neighbours_of_matches(spark, sf):
+    """Nodes whose text names a figure, with their neighbours."""
+    nodes = chunks(spark, sf)
+    found = nodes.where(F.contains("text", F.lit("Grokalm Vepam"))).select(F.col("unique_id").alias("src"))
+    ends = nodes.select(F.col("unique_id").alias("dst"), "source_file")
+    return shared_edges.symmetric(pairs(spark, sf)).join(found, "src").join(ends, "dst").select(F.col("src").alias("node"), F.col("dst").alias("neighbour"), "source_file")
+
+
+@query(f"""WITH {CHUNKS}, r AS (SELECT source_file, parent_id, child_id, row_number() OVER (PARTITION BY source_file, parent_id ORDER BY node_id) AS k, count(*) OVER (PARTITION BY source_file, parent_id) AS n FROM chunks WHERE source_file IS NOT NULL AND parent_id IS NOT NULL)
+SELECT source_file, parent_id, any_value(n) AS n_children, string_agg(child_id, '|' ORDER BY k) FILTER (k <= 3) AS first_children FROM r GROUP BY 1, 2""")
+def children_of_parents(spark, sf):
+    """Each parent with the number of its children and the first three."""
+    w = Window.partitionBy("source_file", "parent_id")
+    rows = chunks(spark, sf).where("source_file is not null and parent_id is not null")
+    rows = rows.select("source_file", "parent_id", "child_id", F.row_number().over(w.orderBy("node_id")).alias("k"))
+    first = F.array_sort(F.collect_list(F.when(F.col("k") <= 3, F.struct("k", "child_id"))))
+    return rows.groupBy("source_file", "parent_id").agg(F.count(F.lit(1)).alias("n_children"), F.array_join(F.transform(first, lambda x: x["child_id"]), "|").alias("first_children"))
+
+
 # ---- text
 
 

@@ -46,7 +46,7 @@ def test_words_and_terms(spark):
     assert one(spark, "ÀB_c (x)--1", tx.safe_name) == "ÀB_c_x_--1"
     assert one(spark, "THE WORD OF LIFE", tx.is_heading_line) is True
     assert one(spark, "THE WORD of the life", tx.is_heading_line) is False
-    assert one(spark, "gpt-4o-mini", lambda c: tx.ordered_case(c, [("gpt-4o", 1), ("gpt-4", 2)], 0)) == 1
+    assert one(spark, "an Ashen oak", lambda c: tx.ordered_case(c, [("ash", 1), ("oak", 2)], 0)) == 1
 
 
 def nodes(spark):
