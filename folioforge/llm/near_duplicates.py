@@ -7,8 +7,8 @@ the six. If two sketches differ in one symbol of a part, some mask of that part
 radius 2 * PARTS - 1 has a part with at most one difference and agrees in some masked table: no pair within the radius is
 missed. Beyond it a pair still collides as soon as two of the three symbol pairs of one part agree.
 
-Exact copies are one class before anything is compared. Candidates meet in a join on (table, masked key), in which no
-bucket is collected in one task: AQE splits a hot one. Candidates are verified on their shingles, exactly.
+Exact copies are one class before anything is compared. One bit of each symbol then turns unlike candidates away. Candidates meet in a join on the masked key and two blocks of
+its bucket, so no bucket is worked off by one task. Candidates are verified on their shingles, exactly.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.operators.components import connected_components
@@ -30,6 +30,7 @@ PARTS = 12
 DIMS = 6 * PARTS
 RADIUS = 2 * PARTS - 1
 TABLES = 3 * PARTS
+BLOCK = 512  # texts of a bucket that one key of the join holds
 #: Codes of the three symbol pairs of a part, and the masks over them: mask v keeps pair m if the product of v and m is odd.
 CODES = (0b01, 0b10, 0b11)
 MASKS = tuple(tuple(bin(v & m).count("1") % 2 == 1 for m in CODES for _ in range(2)) for v in CODES)
@@ -134,23 +135,53 @@ def _signatures(base: DataFrame, width: int, least_words: int) -> DataFrame:
                 symbols = sketch(runs, np.concatenate(([0], np.cumsum(counts[kept]))))
                 keys = masked_keys(symbols).view(np.int64)
                 owner = np.array([hashes[fresh[k]] for k in kept], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.tile(owner, TABLES))], names=["table_key", "h"])
+                # the keys of a text stand together, so that its hash compresses in the shuffle
+                yield pa.RecordBatch.from_arrays([pa.array(keys.T.ravel()), pa.array(np.repeat(owner, TABLES))], names=["table_key", "h"])
 
     return base.select("h", "text").mapInArrow(run, "table_key bigint, h bigint")
 
 
 def _shingle_sets(texts: DataFrame, width: int, least_words: int) -> DataFrame:
-    """(h, h2, runs array<bigint>) of texts of enough words."""
+    """(h, class_id, bits, runs array<bigint>) of texts (h, class_id, text) of enough words; bits: one bit of each of the first 64 sketch symbols."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
         for batch in batches:
             sizes, runs, offsets = shingle(batch.column(2).to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(runs.view(np.int64)))
-            kept = pa.array((sizes >= least_words) & (np.diff(offsets) > 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["h", "h2", "runs"]).filter(kept)
+            counts = np.diff(offsets)
+            bits = np.zeros(len(counts), np.uint64)
+            some = np.flatnonzero(counts)
+            if len(some):
+                symbols = mix64(sketch(runs, np.concatenate(([0], np.cumsum(counts[some]))))[:64])
+                bits[some] = ((symbols & np.uint64(1)) << np.arange(64, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64)
+            kept = pa.array((sizes >= least_words) & (counts > 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits.view(np.int64)), lists], names=["h", "class_id", "bits", "runs"]).filter(kept)
+
+    kind = texts.schema["class_id"].dataType.simpleString()
+    return texts.select("h", "class_id", "text").mapInArrow(run, f"h bigint, class_id {kind}, bits bigint, runs array<bigint>")
+
+
+def least_bits(threshold: float) -> int:
+    """Agreeing bits of 64 that a pair at the threshold has with all but some 3 in a million: mean less 4.5 deviations."""
+    p = (1 + threshold) / 2
+    return int(np.floor(64 * p - 4.5 * np.sqrt(64 * p * (1 - p))))
 
-    return texts.select("h", "h2", "text").mapInArrow(run, "h bigint, h2 bigint, runs array<bigint>")
+
+def _bucket_pairs(signed: DataFrame) -> DataFrame:
+    """(ha, hb), ha < hb: distinct pairs of texts that share a bucket.
+
+    Texts alone in a bucket, nearly all, go after one shuffle. A bucket is cut into blocks of some BLOCK texts, and every
+    two of its blocks meet under a key of their own, so a hot bucket is spread over many tasks.
+    """
+    size = F.count(F.lit(1)).over(Window.partitionBy("table_key"))
+    several = signed.repartition("table_key").dropDuplicates(["table_key", "h"]).withColumn("n", size).where("n > 1")  # both sides reuse its shuffle
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = several.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
+    x = placed.select("table_key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("h").alias("hx"))
+    y = placed.select("table_key", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), F.col("h").alias("hy"))
+    met = x.join(y, ["table_key", "i", "j"]).where("i < j or hx < hy")
+    return met.select(F.least("hx", "hy").alias("ha"), F.greatest("hx", "hy").alias("hb")).distinct()
 
 
 def _base(records: DataFrame, key: str, text: str) -> DataFrame:
@@ -168,24 +199,25 @@ def similar_classes(records: DataFrame, *, key: str, text: str, threshold: float
     """
     base = _base(records, key, text)
     signed = _signatures(base, width, least_words)
-    buckets = signed.repartition("table_key").dropDuplicates(["table_key", "h"])
-    pairs = buckets.alias("x").join(buckets.alias("y"), "table_key").where("x.h < y.h").select(F.col("x.h").alias("ha"), F.col("y.h").alias("hb")).distinct()
-    pairs = cut_lineage(pairs)
+    pairs = cut_lineage(_bucket_pairs(signed))
     copied = base.select("h", "id").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     wanted = pairs.select(F.col("ha").alias("h")).union(pairs.select("hb")).union(copied).distinct()
     # the texts move once, only those in question stay; equal hashes of different texts are told apart by the second one
-    found = base.join(wanted, "h", "left_semi").withColumn("h2", F.xxhash64(F.lit(7), F.reverse("text")))
-    firsts = found.groupBy("h", "h2").agg(F.min("id").alias("class_id"), F.min("text").alias("text"))
-    held = cut_lineage(firsts.select("h", "h2", "class_id", "text"))
-    sets = cut_lineage(_shingle_sets(held, width, least_words))
-    named = sets.join(held.select("h", "h2", "class_id"), ["h", "h2"]).select("h", "class_id", "runs", F.size("runs").alias("n"))
-    side = lambda s: named.select(F.col("h").alias(f"h{s}"), F.col("class_id").alias(f"c{s}"), F.col("runs").alias(f"r{s}"), F.col("n").alias(f"n{s}"))
-    met = pairs.join(side("a"), "ha").join(side("b"), "hb").where((F.col("na") >= F.col("nb") * threshold - 1e-9) & (F.col("nb") >= F.col("na") * threshold - 1e-9))
+    found = cut_lineage(base.join(wanted, "h", "left_semi").withColumn("h2", F.xxhash64(F.lit(7), F.reverse("text"))))
+    held = found.groupBy("h", "h2").agg(F.min("id").alias("class_id"), F.min("text").alias("text"))
+    named = cut_lineage(_shingle_sets(held, width, least_words).withColumn("n", F.size("runs")))
+    # a common phrase can bring many unlike texts into one bucket: sizes and bits, 24 bytes a text, turn those away
+    small = lambda s: named.select(F.col("h").alias(f"h{s}"), F.col("class_id").alias(f"c{s}"), F.col("bits").alias(f"b{s}"), F.col("n").alias(f"n{s}"))
+    like = pairs.join(small("a"), "ha").join(small("b"), "hb")
+    like = like.where((F.col("na") >= F.col("nb") * threshold - 1e-9) & (F.col("nb") >= F.col("na") * threshold - 1e-9))
+    like = like.where(F.bit_count(F.col("ba").bitwiseXOR(F.col("bb"))) <= 64 - least_bits(threshold)).select("ca", "cb", "na", "nb")
+    large = lambda s: named.select(F.col("class_id").alias(f"c{s}"), F.col("runs").alias(f"r{s}"))
+    met = like.join(large("a"), "ca").join(large("b"), "cb")
     common = F.size(F.array_intersect("ra", "rb"))
     met = met.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), common.alias("i"), (F.col("na") + F.col("nb")).alias("n"))
     links = met.where(F.col("i") >= threshold * (F.col("n") - F.col("i")) - 1e-9).select("a", "b", (F.col("i") / (F.col("n") - F.col("i"))).alias("similarity"))
     links = cut_lineage(links)
-    several = found.select("h", "h2", "id").distinct().join(named.select("h", "class_id").join(held.select("class_id", "h2"), "class_id"), ["h", "h2"])
+    several = found.select("h", "h2", "id").distinct().join(named.select("class_id").join(held.select("h", "h2", "class_id"), "class_id"), ["h", "h2"])
     return links, several.select("class_id", "id")
 
 

@@ -84,6 +84,13 @@ def test_groups_and_large_classes(spark):
     assert {x: find(x) for x in linked} == {x: root(x) for x in parent}
 
 
+def test_blocks_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 3)
+    rows = [(k % 4, h) for k in range(4) for h in range(k * 7)] + [(99, 1)]
+    got = sorted((r.ha, r.hb) for r in nd._bucket_pairs(spark.createDataFrame(rows + rows, "table_key bigint, h bigint")).collect())
+    assert got == sorted(combinations(range(21), 2))
+
+
 def test_masks_cover_the_radius():
     rng = np.random.default_rng(8)
     base = rng.integers(0, 1 << 62, (nd.DIMS, 1)).astype(np.uint64)
