@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import trimmed_items
 
+BLOCK = 2_000  # nodes of an item that meet in one task, if the item has no cap
+
 
 def item_table(nodes: DataFrame, node: str, fields: Mapping[str, str]) -> DataFrame:
     """(node, edge_type, item), distinct, from array columns; fields: column -> edge type. Null and blank items are dropped."""
@@ -22,6 +24,21 @@ def inverted_index(items: DataFrame) -> DataFrame:
     return items.groupBy("edge_type", "item").agg(F.count(F.lit(1)).alias("n_nodes"), F.min("node").alias("first_node"))
 
 
+def _item_pairs(items: DataFrame, least_nodes: int, most_nodes: int | None) -> DataFrame:
+    """(edge_type, item, src, dst), src < dst: the self-join. Without a cap the nodes of an item are dealt into blocks and each pair
+    of blocks is a join key of its own, so no task holds all pairs of a hub item."""
+    counted = items.groupBy("edge_type", "item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_nodes)
+    if most_nodes is not None:
+        usable = items.join(counted.where(F.col("n") <= most_nodes).select("edge_type", "item"), ["edge_type", "item"], "left_semi")
+        a, b = usable.withColumnRenamed("node", "src"), usable.withColumnRenamed("node", "dst")
+        return a.join(b, ["edge_type", "item"]).where("src < dst")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = items.join(counted, ["edge_type", "item"]).select("edge_type", "item", "node", F.pmod(F.xxhash64("node"), blocks).alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("met"))
+    a = dealt.select("edge_type", "item", F.col("own").alias("p"), F.col("met").alias("q"), F.col("node").alias("src"))
+    b = dealt.select("edge_type", "item", F.col("met").alias("p"), F.col("own").alias("q"), F.col("node").alias("dst"))
+    return a.join(b, ["edge_type", "item", "p", "q"]).where("src < dst").select("edge_type", "item", "src", "dst")
+
+
 def shared_item_edges(items: DataFrame, *, least_nodes: int = 2, most_nodes: int | None = 10_000, min_overlap: int = 1, max_shared: int = 3) -> DataFrame:
     """(src, dst, edge_type, weight, shared): node pairs src < dst with the number of items they share, by type.
 
@@ -29,19 +46,15 @@ def shared_item_edges(items: DataFrame, *, least_nodes: int = 2, most_nodes: int
     before the self-join, whose size is thereby bounded for each item; most_nodes=None lifts it. min_overlap holds for a
     pair and type. shared lists the first max_shared items in ascending order; the weight counts all.
     """
-    counted = items.groupBy("edge_type", "item").agg(F.count(F.lit(1)).alias("n"))
-    kept = counted.where((F.col("n") >= least_nodes) & (F.lit(True) if most_nodes is None else F.col("n") <= most_nodes)).select("edge_type", "item")
-    usable = items.join(kept, ["edge_type", "item"], "left_semi")
-    a, b = usable.withColumnRenamed("node", "src"), usable.withColumnRenamed("node", "dst")
-    pairs = a.join(b, ["edge_type", "item"]).where("src < dst")
+    pairs = _item_pairs(items, least_nodes, most_nodes)
     out = pairs.groupBy("src", "dst", "edge_type").agg(F.count(F.lit(1)).alias("weight"), F.array_sort(F.collect_list("item")).alias("shared"))
     return out.where(F.col("weight") >= min_overlap).withColumn("shared", F.slice("shared", 1, max_shared))
 
 
-def overlap_edges(items: DataFrame, *, min_weight: int = 1, most_nodes: int | None = 10_000) -> DataFrame:
-    """(src, dst, weight): items shared in all types together."""
-    typed = shared_item_edges(items, most_nodes=most_nodes, max_shared=0)
-    return typed.groupBy("src", "dst").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= min_weight)
+def overlap_edges(items: DataFrame, *, min_weight: int = 1, most_nodes: int | None = None) -> DataFrame:
+    """(src, dst, weight): items shared in all types together. Every item counts, unless most_nodes leaves out those of more nodes."""
+    pairs = _item_pairs(items, 2, most_nodes)
+    return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")).where(F.col("weight") >= min_weight)
 
 
 def unordered(edges: DataFrame, a: str = "node1", b: str = "node2") -> DataFrame:

@@ -78,7 +78,20 @@ def shared_item_edges(spark, sf):
 u AS (SELECT i.* FROM items i JOIN c USING (edge_type, item))
 SELECT a.node AS src, b.node AS dst, count(*) AS weight FROM u a JOIN u b ON a.edge_type = b.edge_type AND a.item = b.item AND a.node < b.node GROUP BY 1, 2 HAVING count(*) >= 3""")
 def semantic_overlap_edges(spark, sf):
-    return shared_edges.overlap_edges(items(spark, sf), min_weight=3)
+    return shared_edges.overlap_edges(items(spark, sf), min_weight=3, most_nodes=10_000)
+
+
+@query(f"""WITH {ITEMS} SELECT a.node AS src, b.node AS dst, count(*) AS weight FROM items a JOIN items b ON a.edge_type = b.edge_type AND a.item = b.item AND a.node < b.node GROUP BY 1, 2""")
+def semantic_edges(spark, sf):
+    """Every pair of nodes that share an item, with the number of all items they share: no cap and no least weight."""
+    return shared_edges.overlap_edges(items(spark, sf))
+
+
+@query(f"""WITH {ITEMS}, p AS (SELECT a.node AS src, b.node AS dst, a.edge_type, a.item FROM items a JOIN items b ON a.edge_type = b.edge_type AND a.item = b.item AND a.node < b.node)
+SELECT src, dst, edge_type, count(*) AS weight, array_to_string(list_sort(list(item))[1:3], '|') AS shared FROM p GROUP BY 1, 2, 3""")
+def shared_item_edges_uncapped(spark, sf):
+    """Edges of shared items by type, whatever the number of an item's nodes."""
+    return shared_edges.shared_item_edges(items(spark, sf), most_nodes=None).withColumn("shared", F.array_join("shared", "|"))
 
 
 @query(f"WITH {ITEMS} SELECT edge_type, item, count(*) AS n_nodes, min(node) AS first_node FROM items GROUP BY 1, 2")

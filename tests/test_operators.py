@@ -192,3 +192,16 @@ def test_files_and_export(spark):
     assert export.untyped_header(["id:ID", ":LABEL", "x"]) == ["id", "label", "x"] and export.typed_header(["w"], {"w": "FLOAT"}) == ["w:FLOAT"]
     edges = spark.createDataFrame([("a", "a", None, ""), ("a", "b", "t", "i"), ("a", "b", "t", "i")], "node1 string, node2 string, edge_type string, shared_item string")
     assert tuple(export.quality_counts(edges).first()) == (3, 0, 1, 1, 1, 1)
+
+
+def test_overlap_without_cap(spark, monkeypatch):
+    monkeypatch.setattr(shared_edges, "BLOCK", 7)
+    rng = random.Random(4)
+    held = {f"n{k}": {"hub", *(f"i{rng.randrange(30)}" for _ in range(3))} for k in range(60)}
+    items = spark.createDataFrame([(n, "entity" if i < "i2" else "keyword", i) for n, s in held.items() for i in s], "node string, edge_type string, item string")
+    want = {(a, b): len(held[a] & held[b]) for a in held for b in held if a < b}
+    got = [tuple(r) for r in shared_edges.overlap_edges(items).collect()]
+    assert len(got) == len(want) and {(a, b): w for a, b, w in got} == want
+    assert shared_edges.overlap_edges.__kwdefaults__["most_nodes"] is None  # a hub of any size counts
+    typed = [tuple(r) for r in shared_edges.shared_item_edges(items, most_nodes=None, max_shared=0).select("src", "dst", "edge_type", "weight").collect()]
+    assert sum(w for *_, w in typed) == sum(want.values()) and len({r[:3] for r in typed}) == len(typed)
