@@ -287,6 +287,13 @@ def connected_component_labels(spark, sf):
     return connected_components(_weighted_pairs(spark, sf, 2))
 
 
+@query()
+def whole_graph_components(spark, sf):
+    """The component of every node, over all pairs of any weight; a node without an edge is one of its own."""
+    nodes = table(spark, sf, "build_graph").where("unique_id is not null").select(F.col("unique_id").alias("node")).distinct()
+    return nodes.join(connected_components(pairs(spark, sf)), "node", "full").select("node", F.coalesce("component", "node").alias("component"))
+
+
 @query(f"""WITH RECURSIVE {_strong(1)}, s AS (SELECT src AS a, dst AS b, src || chr(1) || dst AS e, weight AS w FROM strong UNION ALL SELECT dst, src, src || chr(1) || dst, weight FROM strong WHERE src <> dst),
 st AS (SELECT DISTINCT unique_id AS node FROM build_graph WHERE source_file LIKE 'The_Ample_C%'),
 t AS (SELECT node AS start, node AS here, []::VARCHAR[] AS used, 0::BIGINT AS total, 0 AS n FROM st

@@ -205,3 +205,12 @@ def test_overlap_without_cap(spark, monkeypatch):
     assert shared_edges.overlap_edges.__kwdefaults__["most_nodes"] is None  # a hub of any size counts
     typed = [tuple(r) for r in shared_edges.shared_item_edges(items, most_nodes=None, max_shared=0).select("src", "dst", "edge_type", "weight").collect()]
     assert sum(w for *_, w in typed) == sum(want.values()) and len({r[:3] for r in typed}) == len(typed)
+
+
+def test_components_of_all_nodes(spark, tmp_path):
+    from folioforge.plans.reference_queries import whole_graph_components
+
+    spark.createDataFrame([("a",), ("b",), ("c",), ("lone",)], "unique_id string").write.parquet(f"{tmp_path}/build_graph.parquet")
+    spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y"), ("lone", "lone")], "node1 string, node2 string").write.parquet(f"{tmp_path}/edges.parquet")
+    got = {r.node: r.component for r in whole_graph_components(spark, str(tmp_path)).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "lone": "lone", "x": "x", "y": "x"}
