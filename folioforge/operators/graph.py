@@ -76,6 +76,23 @@ def resolve_endpoints(ends: DataFrame, registry: DataFrame) -> DataFrame:
     return out.select("end_id", "original_id", "hint", status.alias("status"), final.alias("final_id"))
 
 
+def resolve_edges(edges: DataFrame, hints: DataFrame, registry: DataFrame) -> DataFrame:
+    """edges (node1, node2, rest) with status, start_id and end_id: both ends resolved against the registry.
+
+    hints: original_id, hint, one row each id at most; registry as for resolve_endpoints. The status is that of node1, or
+    of node2 if node1 is resolved; a null or empty end is missing. The ids are null unless both ends are resolved. Each
+    distinct end is resolved once.
+    """
+    ends = edges.select(F.explode(F.array("node1", "node2")).alias("original_id")).where("original_id <> ''").distinct()
+    known = cut_lineage(resolve_endpoints(ends.join(hints, "original_id", "left").withColumn("end_id", F.col("original_id")), registry).select("original_id", "status", "final_id"))
+    of = lambda c, s: known.select(F.col("original_id").alias(c), F.col("status").alias(f"__s{s}"), F.col("final_id").alias(f"__f{s}"))
+    both = edges.join(of("node1", 1), "node1", "left").join(of("node2", 2), "node2", "left")
+    one = lambda s: F.coalesce(F.col(f"__s{s}"), F.lit("missing"))
+    status = F.when(one(1) != "resolved", one(1)).otherwise(one(2))
+    final = lambda s: F.when(status == "resolved", F.col(f"__f{s}"))
+    return both.select(*edges.columns, status.alias("status"), final(1).alias("start_id"), final(2).alias("end_id"))
+
+
 def merge_aliases(edges: DataFrame, aliases: DataFrame) -> DataFrame:
     """(src, dst, weight) with ends replaced by their canonical ids, weights added up, loops dropped. aliases: alias, canonical."""
     one = aliases.groupBy("alias").agg(F.min("canonical").alias("canonical"))

@@ -239,6 +239,19 @@ def endpoint_resolution(spark, sf):
     return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"""WITH {CHUNKS}, r AS (SELECT DISTINCT label, id, original_source_file AS f FROM simple_gml_to_csv),
+e AS (SELECT node1, node2, row_number() OVER () AS k FROM edges), x AS (SELECT k, node1 AS o, 1 AS side FROM e UNION ALL SELECT k, node2, 2 FROM e),
+j AS (SELECT k, side, count(r.id) AS n, count(r.id) FILTER (r.f = c.source_file) AS nf FROM x LEFT JOIN chunks c ON c.unique_id = o LEFT JOIN r ON r.label = o GROUP BY 1, 2),
+s AS (SELECT k, max(CASE WHEN n = 0 THEN 'missing' WHEN n = 1 OR nf = 1 THEN 'resolved' ELSE 'ambiguous' END) FILTER (side = 1) AS a, max(CASE WHEN n = 0 THEN 'missing' WHEN n = 1 OR nf = 1 THEN 'resolved' ELSE 'ambiguous' END) FILTER (side = 2) AS b FROM j GROUP BY 1)
+SELECT CASE WHEN a <> 'resolved' THEN a ELSE b END AS status, count(*) AS n FROM s GROUP BY 1""")
+def edge_resolution(spark, sf):
+    """Edge rows by what becomes of them when both ends are resolved; a loaded repetition is a row of its own."""
+    hints = chunks(spark, sf).select(F.col("unique_id").alias("original_id"), F.col("source_file").alias("hint"))
+    registry = table(spark, sf, "simple_gml_to_csv").select(F.col("label").alias("original_id"), F.col("id").alias("final_id"), F.col("original_source_file").alias("source_file"))
+    found = graph.resolve_edges(table(spark, sf, "edges"), hints, registry)
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"""WITH {TYPED}, l AS (SELECT DISTINCT label FROM simple_gml_to_csv WHERE label IS NOT NULL)
 SELECT src AS start_id, dst AS end_id, edge_type AS relationship_type, weight::DOUBLE AS weight FROM typed WHERE src IN (SELECT label FROM l) AND dst IN (SELECT label FROM l)""")
 def export_edges(spark, sf):

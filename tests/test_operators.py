@@ -214,3 +214,14 @@ def test_components_of_all_nodes(spark, tmp_path):
     spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y"), ("lone", "lone")], "node1 string, node2 string").write.parquet(f"{tmp_path}/edges.parquet")
     got = {r.node: r.component for r in whole_graph_components(spark, str(tmp_path)).collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "lone": "lone", "x": "x", "y": "x"}
+
+
+def test_resolve_edges(spark):
+    rows = [("r", "r"), ("r", "m"), ("m", "a"), ("a", "m"), ("r", "a"), ("r", "h"), (None, "r"), ("r", ""), ("r", "r")]
+    edges = spark.createDataFrame(rows, "node1 string, node2 string")
+    hints = spark.createDataFrame([("h", "f1"), ("a", None)], "original_id string, hint string")
+    registry = spark.createDataFrame([("r", "R", "f1"), ("a", "A1", "f1"), ("a", "A2", "f2"), ("h", "H1", "f1"), ("h", "H2", "f2")], "original_id string, final_id string, source_file string")
+    got = sorted((tuple(r) for r in graph.resolve_edges(edges, hints, registry).collect()), key=str)
+    ok, no = lambda a, b, x, y: (a, b, "resolved", x, y), lambda a, b, s: (a, b, s, None, None)
+    want = [ok("r", "r", "R", "R"), ok("r", "r", "R", "R"), ok("r", "h", "R", "H1"), no("r", "m", "missing"), no("m", "a", "missing"), no("a", "m", "ambiguous"), no("r", "a", "ambiguous"), no(None, "r", "missing"), no("r", "", "missing")]
+    assert got == sorted(want, key=str)
