@@ -118,3 +118,31 @@ def trails(edges: DataFrame, starts: DataFrame, hops: int) -> DataFrame:
         found = now.select("start", F.col("at").alias("finish"), F.lit(k).alias("n_hops"), F.col("total").alias("weight"))
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def trails_between(edges: DataFrame, starts: DataFrame, ends: DataFrame, hops: int) -> DataFrame:
+    """(start, finish, n_hops, weight) of every undirected trail of 1 to hops edges from a node of starts to one of ends.
+
+    The trails of trails() that finish in ends (node), without walking all others: a trail is a front half walked from its
+    start and a back half walked from its end that meet in a node and have no edge in common.
+    """
+    numbered = cut_lineage(edges.select("src", "dst", "weight").withColumn("e", F.monotonically_increasing_id()))
+    steps = numbered.select(F.col("src").alias("at"), F.col("dst").alias("next"), "e", F.col("weight").alias("w"))
+    steps = steps.unionByName(numbered.where("src <> dst").select(F.col("dst").alias("at"), F.col("src").alias("next"), "e", F.col("weight").alias("w")))
+
+    def walks(first: DataFrame, most: int) -> list[DataFrame]:
+        out = [first.select(F.col("node").alias("origin"), F.col("node").alias("at"), F.array().cast("array<bigint>").alias("used"), F.lit(0).cast("bigint").alias("total")).distinct()]
+        for _ in range(most):
+            on = out[-1].join(steps, "at").where(~F.array_contains("used", F.col("e")))
+            out.append(on.select("origin", F.col("next").alias("at"), F.array_append("used", F.col("e")).alias("used"), (F.col("total") + F.col("w")).alias("total")))
+        return out
+
+    front, back = walks(starts, (hops + 1) // 2), walks(ends, hops // 2)
+    out = None
+    for k in range(1, hops + 1):
+        f = front[(k + 1) // 2].select(F.col("origin").alias("start"), "at", F.col("used").alias("u1"), F.col("total").alias("t1"))
+        b = back[k // 2].select(F.col("origin").alias("finish"), "at", F.col("used").alias("u2"), F.col("total").alias("t2"))
+        met = f.join(b, "at").where(~F.arrays_overlap("u1", "u2"))
+        found = met.select("start", "finish", F.lit(k).alias("n_hops"), (F.col("t1") + F.col("t2")).alias("weight"))
+        out = found if out is None else out.unionByName(found)
+    return out

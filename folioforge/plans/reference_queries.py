@@ -317,6 +317,19 @@ def k_hop_paths(spark, sf):
     return graph.trails(_weighted_pairs(spark, sf, 1), starts, 3)
 
 
+#: The reference asks for words of its own library, which no text of these tables holds; these stand in: of a start, its file and an end.
+ROUTE = {"start": "mercy", "file": "Servant", "end": "vocation"}
+
+
+@query()
+def weighted_routes(spark, sf):
+    """All trails of 1 to 5 edges from nodes whose text and file name hold a word to nodes whose text holds another."""
+    nodes = table(spark, sf, "build_graph").select(F.col("unique_id").alias("node"), "text", "source_file")
+    starts = nodes.where(F.contains("text", F.lit(ROUTE["start"])) & F.contains("source_file", F.lit(ROUTE["file"]))).select("node").distinct()
+    ends = nodes.where(F.contains("text", F.lit(ROUTE["end"]))).select("node").distinct()
+    return graph.trails_between(_weighted_pairs(spark, sf, 1), starts, ends, 5)
+
+
 @query("""SELECT min(doc_id) AS doc_id, count(*) AS n_copies, length(any_value(text)) AS n_chars FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1""")
 def dedup_by_text(spark, sf):
     rows = table(spark, sf, "documents").where("text is not null").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"))

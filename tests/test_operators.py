@@ -225,3 +225,13 @@ def test_resolve_edges(spark):
     ok, no = lambda a, b, x, y: (a, b, "resolved", x, y), lambda a, b, s: (a, b, s, None, None)
     want = [ok("r", "r", "R", "R"), ok("r", "r", "R", "R"), ok("r", "h", "R", "H1"), no("r", "m", "missing"), no("m", "a", "missing"), no("a", "m", "ambiguous"), no("r", "a", "ambiguous"), no(None, "r", "missing"), no("r", "", "missing")]
     assert got == sorted(want, key=str)
+
+
+def test_trails_between(spark):
+    rng = random.Random(6)
+    pairs = {tuple(sorted((rng.randrange(9), rng.randrange(9)))) for _ in range(17)}
+    edges = spark.createDataFrame([(f"n{a}", f"n{b}", a + 2 * b) for a, b in pairs], "src string, dst string, weight bigint")
+    starts = spark.createDataFrame([("n1",), ("n2",)], "node string")
+    ends = spark.createDataFrame([("n2",), ("n5",), ("n7",)], "node string")
+    want = sorted(tuple(r) for r in graph.trails(edges, starts, 5).collect() if r.finish in ("n2", "n5", "n7"))
+    assert sorted(tuple(r) for r in graph.trails_between(edges, starts, ends, 5).collect()) == want and {w[2] for w in want} == {1, 2, 3, 4, 5}
