@@ -178,13 +178,13 @@ def _tails(docs: DataFrame, frequent: frozenset[str]) -> DataFrame:
                 words.append(found[-1].lower() if found and found[-1][0].isalpha() else None)
                 keys.append([_key(c) for c in [*contexts(reduced, len(reduced)), "w " + found[-1].lower(), f"# {lang}"]] if found and kind in OPEN else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(batch.column(k) for k in range(2, 6)), pa.array(kinds), pa.array(words, pa.string()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "source", "lang", "n_chars", "n_bytes", "kind", "word", "keys"],
+                [batch.column(0), *(batch.column(k) for k in range(2, 7)), pa.array(kinds), pa.array(words, pa.string()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "source", "lang", "n_chars", "n_bytes", "h", "kind", "word", "keys"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, source string, lang string, n_chars int, n_bytes int, kind string, word string, keys array<bigint>"
-    return docs.select("doc_id", "text", "source", "lang", "n_chars", "n_bytes").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    schema = f"doc_id {kind}, source string, lang string, n_chars int, n_bytes int, h bigint, kind string, word string, keys array<bigint>"
+    return docs.select("doc_id", "text", "source", "lang", "n_chars", "n_bytes", F.xxhash64("text").alias("h")).mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
 
 
 def language(lang: Column) -> Column:
@@ -196,30 +196,32 @@ def _words(text: Column) -> Column:
 
 
 def score(docs: DataFrame, *, frequent_share: float = 0.0021, least_share_of_language: float = 0.005) -> DataFrame:
-    """(doc_id, source, lang, kind, n_chars, n_bytes, ratio) of each document; ratio: log-odds of a cut against an ending,
+    """(doc_id, source, lang, kind, n_chars, n_bytes, h, ratio) of each document; h: hash of the text; ratio: log-odds of a cut against an ending,
     null for closed and empty texts. frequent_share: words of at least this share of a language stand as they are."""
     text = F.col("text").cast("string")
     docs = docs.select(
         "doc_id", text.alias("text"), F.col("source").cast("string").alias("source"), language(F.col("lang")).alias("lang"),
         F.char_length(text).alias("n_chars"), F.octet_length(text).alias("n_bytes"),
     )
-    words = cut_lineage(docs.select("lang", F.explode(_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
+    # copies of a text are one witness: the model learns from each text once, while every row is judged
+    texts = cut_lineage(docs.where(F.col("text").isNotNull()).groupBy("text").agg(F.min("lang").alias("lang")))
+    words = cut_lineage(texts.select("lang", F.explode(_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     last = F.regexp_extract(F.lower(F.substring("text", -200, 200)), r"(?U)(\p{L}+)[^\p{L}]*$", 1)
-    finals = docs.select(last.alias("word")).where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n_final"))
+    finals = texts.select(last.alias("word")).where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n_final"))
     # at most 1 / share words of at most 1 / share languages: a bounded set however large the corpus
     total = words.select(F.sum("n")).scalar()
     big = words.groupBy("lang").agg(F.sum("n").alias("n_lang")).where(F.col("n_lang") >= total * F.lit(least_share_of_language))
     common = words.join(big, "lang").where(F.col("n") >= F.col("n_lang") * frequent_share).select("word")
     lexical = words.groupBy("word").agg(F.sum("n").alias("n"))
-    n_texts = docs.select(F.count("text")).scalar()
+    n_texts = texts.select(F.count("text")).scalar()
     closing = finals.where(F.col("n_final") >= n_texts * F.lit(frequent_share)).join(lexical, "word").where(F.col("n_final") > F.col("n") / 2).select("word")
     frequent = frozenset(r.word for r in common.union(closing).distinct().collect())
-    model = _count_contexts(docs, frequent)
+    model = _count_contexts(texts, frequent)
     tails = cut_lineage(_tails(docs, frequent))
 
     # letters: how often the last word stands as a word, and how often longer words begin with it
     asked = tails.where(F.col("kind").isin(*OPEN))
-    final = asked.where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n_final"))
+    final = asked.where(F.col("word").isNotNull()).select("h", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n_final"))
     begin = F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda i: F.substring(F.col("word"), F.lit(1), i))
     longer = lexical.where(F.char_length("word") > 1).select(F.explode(begin).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n_longer"))
     zero = F.lit(0).cast("bigint")
@@ -251,12 +253,12 @@ def score(docs: DataFrame, *, frequent_share: float = 0.0021, least_share_of_lan
     ratio = F.when(at_sentence_end, F.greatest(ratio, -(base + chars_in_token))).otherwise(ratio)
     ratio = F.when(of_letters > 1, F.greatest(ratio, of_letters + 2)).otherwise(ratio)
     open_ = F.col("kind").isin(*OPEN)
-    return joined.select("row", "doc_id", "source", "lang", "kind", "n_chars", "n_bytes", F.when(open_, F.greatest(F.least(ratio, F.lit(12.0)), F.lit(-12.0))).alias("ratio"))
+    return joined.select("row", "doc_id", "source", "lang", "kind", "n_chars", "n_bytes", "h", F.when(open_, F.greatest(F.least(ratio, F.lit(12.0)), F.lit(-12.0))).alias("ratio"))
 
 
 def _limits(scored: DataFrame) -> DataFrame:
-    """(source, size) of the lengths, in characters or bytes, at which open ends of a source pile up."""
-    sizes = scored.where(F.col("kind").isin(*OPEN)).select("source", F.explode(F.array_distinct(F.array("n_chars", "n_bytes"))).alias("size"))
+    """(source, size) of the lengths, in characters or bytes, at which open ends of different texts of a source pile up."""
+    sizes = scored.where(F.col("kind").isin(*OPEN)).select("source", "h", "n_chars", "n_bytes").distinct().select("source", F.explode(F.array_distinct(F.array("n_chars", "n_bytes"))).alias("size"))
     by_size = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     usual = F.avg("n").over(Window.partitionBy("source"))  # one row for each length: small, whatever the source's size
     return by_size.withColumn("usual", usual).where((F.col("n") >= 5) & (F.col("n") >= 6 * F.col("usual"))).select("source", "size")
@@ -313,13 +315,14 @@ def truncated(docs: DataFrame) -> DataFrame:
     a, b = of("n_chars", "by_chars"), of("n_bytes", "by_bytes")
     open_ = open_.join(a, F.col("source").eqNullSafe(F.col("s_by_chars")) & (F.col("n_chars") == F.col("v_by_chars")), "left")
     open_ = open_.join(b, F.col("source").eqNullSafe(F.col("s_by_bytes")) & (F.col("n_bytes") == F.col("v_by_bytes")), "left")
-    open_ = open_.withColumn("at_limit", F.coalesce("by_chars", "by_bytes", F.lit(False))).select("row", "source", "kind", "at_limit", "ratio")
-    binned = open_.groupBy("source", "kind", "at_limit", F.round(F.col("ratio") * 2).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    open_ = open_.withColumn("at_limit", F.coalesce("by_chars", "by_bytes", F.lit(False))).select("row", "source", "kind", "at_limit", "h", "ratio")
+    once = open_.groupBy("source", "kind", "at_limit", "h").agg(F.min("ratio").alias("ratio"))
+    binned = once.groupBy("source", "kind", "at_limit", F.round(F.col("ratio") * 2).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     lengths = scored.groupBy(F.col("source").alias("l_source")).agg(F.count_distinct("n_chars").alias("n_lengths"))
     priors = _thresholds(binned.join(lengths, F.col("source").eqNullSafe(F.col("l_source"))).drop("l_source"))
     p = priors.select(F.col("source").alias("p_source"), F.col("kind").alias("p_kind"), F.col("at_limit").alias("p_limit"), "prior")
     odds = open_.join(p, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("kind") == F.col("p_kind")) & (F.col("at_limit") == F.col("p_limit"))).select("row", (F.col("ratio") + F.col("prior")).alias("odds"))
-    out = scored.drop("ratio", "n_chars", "n_bytes").join(odds, "row", "left")
+    out = scored.drop("ratio", "n_chars", "n_bytes", "h").join(odds, "row", "left")
     return out.withColumn("is_cut", F.coalesce((F.col("kind") == "broken") | (F.col("odds") > 0), F.lit(False))).select("doc_id", "source", "lang", "kind", "is_cut", "odds")
 
 

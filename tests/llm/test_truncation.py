@@ -54,6 +54,15 @@ def test_planted_cuts(spark):
     assert by["poems"].cut_share < 0.02 and by[None].n_docs == 2 and sum(r.n_docs for r in by.values()) == len(rows)
 
 
+def test_copies_are_one_witness(spark):
+    rows, _ = corpus()
+    cut = "The harbour gently warned the miller, because the window and its river opened the prayer. No river ever warned a miller so"
+    whole = "No harbour ever warned a miller so gently as the window that opened the prayer\n\nFINIS"
+    rows += [(6000 + k, cut, "en", f"s{k // 2}", "", "") for k in range(40)] + [(8000 + k, whole, "en", "poems", "", "") for k in range(40)]
+    found = {r.doc_id for r in truncated(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect() if r.is_cut}
+    assert set(range(6000, 6040)) <= found and not found & set(range(8000, 8040))
+
+
 def test_tails():
     assert tail(None)[0] == tail(" \n")[0] == "empty"
     assert tail("It is done.")[0] == tail('He said "so".')[0] == tail("It is. 🙏")[0] == tail("Done?\n\n")[0] == "closed"
