@@ -280,6 +280,17 @@ def graph_compose_last_wins(spark, sf):
     return every.join(graph.compose(rows, "id", "source_file", ["text", "entities", "parent_id"]), "id", "left")
 
 
+ATTRIBUTES = ("text", "entities", "keywords", "figures", "parent_id", "label", "node_label", "original_source_file")
+
+
+@query("SELECT id, " + ", ".join(f"arg_max({a}, source_file || chr(1) || {a}) FILTER ({a} <> '' AND source_file IS NOT NULL) AS {a}" for a in ATTRIBUTES) + " FROM simple_gml_to_csv WHERE id IS NOT NULL GROUP BY 1")
+def graph_compose_all_attributes(spark, sf):
+    """Each node once, every attribute from the last graph that gives it a value."""
+    rows = table(spark, sf, "simple_gml_to_csv")
+    every = rows.where("id is not null").select("id").distinct()
+    return every.join(graph.compose(rows.where("source_file is not null"), "id", "source_file", ATTRIBUTES), "id", "left")
+
+
 @query()
 def prefix_on_conflict_merge(spark, sf):
     return graph.merge_with_prefix(table(spark, sf, "simple_gml_to_csv").select("source_file", "label"), "source_file", "label")
@@ -397,9 +408,15 @@ def clean_text_plain(spark, sf):
     return table(spark, sf, "build_graph").select("node_id", "text").distinct().select("node_id", tx.plain_text(F.col("text")).alias("text"))
 
 
+MOST_TERMS = 10_000
+
+
 def _lexicon(spark, sf, field):
     """The items of one field, a table of fixed size."""
-    return sorted(r.item for r in table(spark, sf, "lexicon").where((F.col("field") == field) & F.col("item").isNotNull()).select("item").distinct().limit(10_000).collect())
+    found = [r.item for r in table(spark, sf, "lexicon").where((F.col("field") == field) & F.col("item").isNotNull()).select("item").distinct().limit(MOST_TERMS + 1).collect()]
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} items of {field} in the lexicon")
+    return sorted(found)
 
 
 @query("""WITH l AS (SELECT list_sort(list(DISTINCT item)) AS k FROM lexicon WHERE field = 'keyword') SELECT doc_id, array_to_string(list_filter(k, lambda t: contains(lower(text), lower(t))), '|') AS keywords FROM documents, l""")

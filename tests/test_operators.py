@@ -235,3 +235,23 @@ def test_trails_between(spark):
     ends = spark.createDataFrame([("n2",), ("n5",), ("n7",)], "node string")
     want = sorted(tuple(r) for r in graph.trails(edges, starts, 5).collect() if r.finish in ("n2", "n5", "n7"))
     assert sorted(tuple(r) for r in graph.trails_between(edges, starts, ends, 5).collect()) == want and {w[2] for w in want} == {1, 2, 3, 4, 5}
+
+
+def test_lexicon_bound(spark, tmp_path, monkeypatch):
+    from folioforge.plans import reference_queries as rq
+
+    spark.createDataFrame([("keyword", "a"), ("keyword", "b"), ("keyword", "b"), ("figure", "c")], "field string, item string").write.parquet(f"{tmp_path}/lexicon.parquet")
+    monkeypatch.setattr(rq, "MOST_TERMS", 1)
+    assert rq._lexicon(spark, str(tmp_path), "figure") == ["c"]
+    with pytest.raises(ValueError):
+        rq._lexicon(spark, str(tmp_path), "keyword")
+
+
+def test_compose_all_attributes(spark, tmp_path):
+    from folioforge.plans import reference_queries as rq
+
+    columns = ["id", "source_file", *rq.ATTRIBUTES]
+    rows = [("x", "g1", *(f"{a}1" for a in rq.ATTRIBUTES)), ("x", "g2", *("" if a == "text" else f"{a}2" for a in rq.ATTRIBUTES))]
+    spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).write.parquet(f"{tmp_path}/simple_gml_to_csv.parquet")
+    got = rq.graph_compose_all_attributes(spark, str(tmp_path)).first().asDict()
+    assert got == {"id": "x"} | {a: "text1" if a == "text" else f"{a}2" for a in rq.ATTRIBUTES}
