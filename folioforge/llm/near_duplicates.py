@@ -7,8 +7,9 @@ the six. If two sketches differ in one symbol of a part, some mask of that part
 radius 2 * PARTS - 1 has a part with at most one difference and agrees in some masked table: no pair within the radius is
 missed. Beyond it a pair still collides as soon as two of the three symbol pairs of one part agree.
 
-Exact copies are one class before anything is compared. One bit of each symbol then turns unlike candidates away. Candidates meet in a join on the masked key and two blocks of
-its bucket, so no bucket is worked off by one task. Candidates are verified on their shingles, exactly.
+Exact copies are one class before anything is compared. Candidates meet in a join on the masked key and two blocks of its
+bucket, so no bucket's pairs are worked off by one task. Texts in question are picked by a Bloom filter of fixed size before
+anything of theirs moves; one bit of each symbol turns unlike candidates away; the rest is verified on the texts' shingles.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ def _signatures(base: DataFrame, width: int, least_words: int) -> DataFrame:
                 chosen[kept] = True
                 runs = runs[np.repeat(chosen, counts)]
                 symbols = sketch(runs, np.concatenate(([0], np.cumsum(counts[kept]))))
-                keys = masked_keys(symbols).view(np.int64)
+                keys = (masked_keys(symbols) << np.uint64(24)).view(np.int64)  # 40 bits: candidates are verified, and zeros cost nothing in the shuffle
                 owner = np.array([hashes[fresh[k]] for k in kept], np.int64)
                 # the keys of a text stand together, so that its hash compresses in the shuffle
                 yield pa.RecordBatch.from_arrays([pa.array(keys.T.ravel()), pa.array(np.repeat(owner, TABLES))], names=["table_key", "h"])
@@ -141,25 +142,99 @@ def _signatures(base: DataFrame, width: int, least_words: int) -> DataFrame:
     return base.select("h", "text").mapInArrow(run, "table_key bigint, h bigint")
 
 
-def _shingle_sets(texts: DataFrame, width: int, least_words: int) -> DataFrame:
-    """(h, class_id, bits, runs array<bigint>) of texts (h, class_id, text) of enough words; bits: one bit of each of the first 64 sketch symbols."""
+#: Bits that the filter of texts in question may have: 16 MB. Wanted texts get 16 bits each up to that, fewer beyond it.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
+PROBES = 3
+
+
+def _probes(h: np.ndarray, n_bits: int) -> list[np.ndarray]:
+    x = h.view(np.uint64)
+    return [(mix64(x + np.uint64(k + 1)) & np.uint64(n_bits - 1)).astype(np.int64) for k in range(PROBES)]
+
+
+def _filter_of(wanted: DataFrame) -> np.ndarray:
+    """A Bloom filter, as bytes, of the hashes in wanted (h): fixed in size, whatever their number."""
+    n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * wanted.count() - 1).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(width)
         for batch in batches:
-            sizes, runs, offsets = shingle(batch.column(2).to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(runs.view(np.int64)))
+            h = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(_probes(h, n_bits))))], names=["bit"])
+
+    at = wanted.mapInArrow(run, "bit bigint").select(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"), F.bitmap_bit_position(F.col("bit") + 1).alias("at"))
+    held = np.zeros(n_bits // 8, np.uint8)
+    for r in at.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect():  # n_bits / 8 bytes in all
+        part = np.frombuffer(r.bits, np.uint8)
+        start = (r.bucket - 1) * len(part)
+        held[start : start + len(part)] = part
+    return held
+
+
+def _passes(h: pa.Array, known: np.ndarray) -> pa.Array:
+    h = h.to_numpy(zero_copy_only=False)
+    there = np.ones(len(h), bool)
+    for at in _probes(h, 8 * len(known)):
+        there &= (known[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    return pa.array(there)
+
+
+def _texts_of(found: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the rows of found (id, text) whose id is among ids (id), and of few others, without a shuffle."""
+    held = found.sparkSession.sparkContext.broadcast(_filter_of(ids.select(F.xxhash64("id").alias("h"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(_passes(batch.column(2), held.value)).select([0, 1])
+
+    kind = found.schema["id"].dataType.simpleString()
+    return found.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(run, f"id {kind}, text string")
+
+
+def _in_question(base: DataFrame, wanted: DataFrame, width: int, least_words: int) -> DataFrame:
+    """(id, h, h2, n, bits, text) of the rows of base whose text is wanted, and of few others, without a shuffle.
+
+    n: distinct shingles; bits: one bit of each of the first 64 sketch symbols; texts of too few words are left out.
+    """
+    held = base.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, known = Shingler(width), held.value
+        for batch in batches:
+            batch = batch.filter(_passes(batch.column(1), known))
+            sizes, runs, offsets = shingle(batch.column(3).to_pylist())
             counts = np.diff(offsets)
             bits = np.zeros(len(counts), np.uint64)
             some = np.flatnonzero(counts)
             if len(some):
                 symbols = mix64(sketch(runs, np.concatenate(([0], np.cumsum(counts[some]))))[:64])
                 bits[some] = ((symbols & np.uint64(1)) << np.arange(64, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64)
-            kept = pa.array((sizes >= least_words) & (counts > 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits.view(np.int64)), lists], names=["h", "class_id", "bits", "runs"]).filter(kept)
+            columns = [*batch.columns[:3], pa.array(counts.astype(np.int32)), pa.array(bits.view(np.int64)), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "h2", "n", "bits", "text"]).filter(pa.array((sizes >= least_words) & (counts > 0)))
+
+    kind = base.schema["id"].dataType.simpleString()
+    seen = base.select("id", "h", F.xxhash64(F.lit(7), F.reverse("text")).alias("h2"), "text")
+    return seen.mapInArrow(run, f"id {kind}, h bigint, h2 bigint, n int, bits bigint, text string")
+
+
+def _verified(met: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(a, b, similarity) of the rows of met (a, b, text_a, text_b) whose similarity reaches the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(width)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                n = part.num_rows
+                sides = [part.column(k).dictionary_encode() for k in (2, 3)]  # a text is cut up once for all its pairs
+                (_, ra, oa), (_, rb, ob) = (shingle(s.dictionary.to_pylist()) for s in sides)
+                ia, ib = (s.indices.to_numpy() for s in sides)
+                common = np.fromiter((len(np.intersect1d(ra[oa[i] : oa[i + 1]], rb[ob[j] : ob[j + 1]], assume_unique=True)) for i, j in zip(ia, ib)), np.int64, n)
+                either = np.diff(oa)[ia] + np.diff(ob)[ib] - common
+                same = pa.array(common >= threshold * either - 1e-9)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common / either)], names=["a", "b", "similarity"]).filter(same)
 
-    kind = texts.schema["class_id"].dataType.simpleString()
-    return texts.select("h", "class_id", "text").mapInArrow(run, f"h bigint, class_id {kind}, bits bigint, runs array<bigint>")
+    kind = met.schema["a"].dataType.simpleString()
+    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
 def least_bits(threshold: float) -> int:
@@ -175,9 +250,10 @@ def _bucket_pairs(signed: DataFrame) -> DataFrame:
     two of its blocks meet under a key of their own, so a hot bucket is spread over many tasks.
     """
     size = F.count(F.lit(1)).over(Window.partitionBy("table_key"))
-    several = signed.repartition("table_key").dropDuplicates(["table_key", "h"]).withColumn("n", size).where("n > 1")  # both sides reuse its shuffle
+    several = signed.repartition("table_key").dropDuplicates(["table_key", "h"]).withColumn("n", size).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = several.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
+    placed = cut_lineage(placed.select("table_key", "h", "block", "blocks"))  # both sides of the join read it
     x = placed.select("table_key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("h").alias("hx"))
     y = placed.select("table_key", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), F.col("h").alias("hy"))
     met = x.join(y, ["table_key", "i", "j"]).where("i < j or hx < hy")
@@ -201,24 +277,24 @@ def similar_classes(records: DataFrame, *, key: str, text: str, threshold: float
     signed = _signatures(base, width, least_words)
     pairs = cut_lineage(_bucket_pairs(signed))
     copied = base.select("h", "id").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    wanted = pairs.select(F.col("ha").alias("h")).union(pairs.select("hb")).union(copied).distinct()
-    # the texts move once, only those in question stay; equal hashes of different texts are told apart by the second one
-    found = cut_lineage(base.join(wanted, "h", "left_semi").withColumn("h2", F.xxhash64(F.lit(7), F.reverse("text"))))
-    held = found.groupBy("h", "h2").agg(F.min("id").alias("class_id"), F.min("text").alias("text"))
-    named = cut_lineage(_shingle_sets(held, width, least_words).withColumn("n", F.size("runs")))
+    wanted = cut_lineage(pairs.select(F.col("ha").alias("h")).union(pairs.select("hb")).union(copied).distinct())
+    # equal hashes of different texts are told apart by the second hash
+    found = cut_lineage(_in_question(base, wanted, width, least_words))
+    classes = cut_lineage(found.groupBy("h", "h2").agg(F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
     # a common phrase can bring many unlike texts into one bucket: sizes and bits, 24 bytes a text, turn those away
-    small = lambda s: named.select(F.col("h").alias(f"h{s}"), F.col("class_id").alias(f"c{s}"), F.col("bits").alias(f"b{s}"), F.col("n").alias(f"n{s}"))
+    small = lambda s: classes.select(F.col("h").alias(f"h{s}"), F.col("class_id").alias(f"c{s}"), F.col("bits").alias(f"b{s}"), F.col("n").alias(f"n{s}"))
     like = pairs.join(small("a"), "ha").join(small("b"), "hb")
     like = like.where((F.col("na") >= F.col("nb") * threshold - 1e-9) & (F.col("nb") >= F.col("na") * threshold - 1e-9))
-    like = like.where(F.bit_count(F.col("ba").bitwiseXOR(F.col("bb"))) <= 64 - least_bits(threshold)).select("ca", "cb", "na", "nb")
-    large = lambda s: named.select(F.col("class_id").alias(f"c{s}"), F.col("runs").alias(f"r{s}"))
-    met = like.join(large("a"), "ca").join(large("b"), "cb")
-    common = F.size(F.array_intersect("ra", "rb"))
-    met = met.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), common.alias("i"), (F.col("na") + F.col("nb")).alias("n"))
-    links = met.where(F.col("i") >= threshold * (F.col("n") - F.col("i")) - 1e-9).select("a", "b", (F.col("i") / (F.col("n") - F.col("i"))).alias("similarity"))
-    links = cut_lineage(links)
-    several = found.select("h", "h2", "id").distinct().join(named.select("class_id").join(held.select("h", "h2", "class_id"), "class_id"), ["h", "h2"])
-    return links, several.select("class_id", "id")
+    like = like.where(F.bit_count(F.col("ba").bitwiseXOR(F.col("bb"))) <= 64 - least_bits(threshold))
+    like = like.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+    # the text of a class moves to its pairs: text compresses, hashes of its shingles would not
+    like = cut_lineage(like.where("a < b").distinct())
+    texts = _texts_of(found.select("id", "text"), like.select(F.explode(F.array("a", "b")).alias("id")))
+    side = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
+    links = _verified(like.join(side("a"), "a").join(side("b"), "b"), width, threshold)
+    links = cut_lineage(links.distinct())  # a record loaded again gives its text twice
+    members = found.select("h", "h2", "id").distinct().join(classes.select("h", "h2", "class_id"), ["h", "h2"]).select("class_id", "id")
+    return links, members
 
 
 def near_duplicate_pairs(records: DataFrame, *, key: str, text: str, threshold: float = 0.8, width: int = 5, least_words: int = 20, expand: int = 1000) -> DataFrame:
