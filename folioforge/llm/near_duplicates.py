@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.llm.common import hash_filter, mix64, passes
 from folioforge.operators.components import connected_components
 from folioforge.session import cut_lineage
 
@@ -39,14 +40,6 @@ SEED = 0x9E3779B97F4A7C15
 _HASHES = np.random.default_rng(SEED & 0xFFFFFFFF).integers(1, 1 << 63, DIMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def mix64(x: np.ndarray) -> np.ndarray:
-    """A bijective finaliser over uint64."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 class Shingler:
     """Hashes of the distinct runs of `width` words of many texts at once."""
 
@@ -142,49 +135,13 @@ def _signatures(base: DataFrame, width: int, least_words: int) -> DataFrame:
     return base.select("h", "text").mapInArrow(run, "table_key bigint, h bigint")
 
 
-#: Bits that the filter of texts in question may have: 16 MB. Wanted texts get 16 bits each up to that, fewer beyond it.
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
-PROBES = 3
-
-
-def _probes(h: np.ndarray, n_bits: int) -> list[np.ndarray]:
-    x = h.view(np.uint64)
-    return [(mix64(x + np.uint64(k + 1)) & np.uint64(n_bits - 1)).astype(np.int64) for k in range(PROBES)]
-
-
-def _filter_of(wanted: DataFrame) -> np.ndarray:
-    """A Bloom filter, as bytes, of the hashes in wanted (h): fixed in size, whatever their number."""
-    n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * wanted.count() - 1).bit_length()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(_probes(h, n_bits))))], names=["bit"])
-
-    at = wanted.mapInArrow(run, "bit bigint").select(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"), F.bitmap_bit_position(F.col("bit") + 1).alias("at"))
-    held = np.zeros(n_bits // 8, np.uint8)
-    for r in at.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect():  # n_bits / 8 bytes in all
-        part = np.frombuffer(r.bits, np.uint8)
-        start = (r.bucket - 1) * len(part)
-        held[start : start + len(part)] = part
-    return held
-
-
-def _passes(h: pa.Array, known: np.ndarray) -> pa.Array:
-    h = h.to_numpy(zero_copy_only=False)
-    there = np.ones(len(h), bool)
-    for at in _probes(h, 8 * len(known)):
-        there &= (known[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-    return pa.array(there)
-
-
 def _texts_of(found: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text) of the rows of found (id, text) whose id is among ids (id), and of few others, without a shuffle."""
-    held = found.sparkSession.sparkContext.broadcast(_filter_of(ids.select(F.xxhash64("id").alias("h"))))
+    held = found.sparkSession.sparkContext.broadcast(hash_filter(ids.select(F.xxhash64("id").alias("h"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(_passes(batch.column(2), held.value)).select([0, 1])
+            yield batch.filter(pa.array(passes(batch.column(2), held.value))).select([0, 1])
 
     kind = found.schema["id"].dataType.simpleString()
     return found.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(run, f"id {kind}, text string")
@@ -195,12 +152,12 @@ def _in_question(base: DataFrame, wanted: DataFrame, width: int, least_words: in
 
     n: distinct shingles; bits: one bit of each of the first 64 sketch symbols; texts of too few words are left out.
     """
-    held = base.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+    held = base.sparkSession.sparkContext.broadcast(hash_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, known = Shingler(width), held.value
         for batch in batches:
-            batch = batch.filter(_passes(batch.column(1), known))
+            batch = batch.filter(pa.array(passes(batch.column(1), known)))
             sizes, runs, offsets = shingle(batch.column(3).to_pylist())
             counts = np.diff(offsets)
             bits = np.zeros(len(counts), np.uint64)
