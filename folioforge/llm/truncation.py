@@ -55,7 +55,8 @@ WEIGHT, NOISE = 6.0, 0.3
 END, ON, SKIP = 0, 1, 2
 SHRINK = 20.0  # ends that the rate of a source weighs in that of one of its languages
 PAD = 64  # before each text
-PIECE, OVERLAP = 1 << 20, 2048  # characters of a long text that are worked off at once, and those read again before the next
+PIECE, OVERLAP = 1 << 17, 2048  # characters that are worked off at once, and those of a long text that are read again before the next
+FLUSH = 1 << 20  # contexts of a table that wait to be counted
 TAIL = 2048  # characters from the end in which the final context lies
 
 
@@ -265,15 +266,25 @@ def _counted(texts: DataFrame, without: Broadcast | None) -> DataFrame:
                     if body := without_remnant(text):
                         yield body, _language_slot(lang)
 
-        some = False
+        waiting: list[list[np.ndarray]] = [[] for _ in range(TABLES + 1)]
+
+        def count(t: int) -> None:
+            size = min(SPAN, SLOTS - t * SPAN)
+            counts[t * SPAN : t * SPAN + size] += np.bincount(np.concatenate(waiting[t]), minlength=size)
+            waiting[t].clear()
+
         for codes, events, slots in _pieces(bodies()):
             words, more, ends, tables = contexts(codes, events < SKIP, slots)
-            some = True
             event = events[ends].astype(np.int64)
-            for t, (cells, what) in enumerate([(cells, more[at]) for at, cells in words] + [(cells, event) for cells in tables]):
-                counts[t * SPAN : (t + 1) * SPAN] += np.bincount((cells + what).ravel() - t * SPAN, minlength=SPAN)
-            counts[TABLES * SPAN :] += np.bincount(slots[ends] + event - TABLES * SPAN, minlength=2 * LANGUAGES)
-        if some:
+            found = [cells + more[at] for at, cells in words] + [cells + event for cells in tables] + [slots[ends] + event]
+            for t, cells in enumerate(found):
+                waiting[t].append((cells.ravel() - t * SPAN).astype(np.int32))
+                if sum(map(len, waiting[t])) > FLUSH:
+                    count(t)
+        for t in range(TABLES + 1):
+            if waiting[t]:
+                count(t)
+        if counts.any():
             for part, start in enumerate(range(0, SLOTS, PART)):
                 held = counts[start : start + PART]
                 if held.any():
@@ -385,8 +396,9 @@ def score(docs: DataFrame) -> DataFrame:
                     codes.append(_codes(body[-TAIL:]))
                     slots.append(_language_slot(lang))
             ratio = np.full(len(kinds), np.nan)
-            for start in range(0, len(asked), 400):
-                some = slice(start, start + 400)
+            step = PIECE // (TAIL + PAD)
+            for start in range(0, len(asked), step):
+                some = slice(start, start + step)
                 ratio[asked[some]] = _ratios(model, contexts, codes[some], np.array(slots[some], np.int64))
             columns = [batch.column(0), *(batch.column(k) for k in range(2, 7)), pa.array(kinds), pa.array(ratio, from_pandas=True)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "source", "lang", "n_chars", "n_bytes", "h", "kind", "ratio"])
