@@ -1,11 +1,13 @@
 """Noise in text from scanned pages: label the lines with a hidden Markov model, drop page furniture, rejoin words, correct
 misread ones, and set the rest as paragraphs.
 
-The states of a line are body, header, page, heading and break; its observation is a layout code (blank, repeats the
-book's names, a page number, a heading or index entry, full or short). Start values of the model are stated below; they
-are re-estimated once from the labels of the whole corpus, whose counts are a few hundred cells. Words are judged by a
-vocabulary of all texts that aren't scans: words of at least `word_share` of their tokens, so at most 1 / word_share of
-them. A word out of it is misread if usual confusions of characters, or joining spaced letters, lead back into it.
+The states of a line are body, header, header beside a page number, page number, heading and break. Its observation is a
+vector of layout features: length against the page, likeness to the book's names, numbers and where they stand, letter
+case, how it starts and ends, and its place in the text. A state emits each feature by itself. Start values of the model
+are stated below; they are re-estimated from the labels of the whole corpus, whose counts are a few hundred cells. The
+labels alone decide what becomes of a line. Words are judged by a vocabulary of all texts that aren't scans: words of at
+least `word_share` of their tokens, so at most 1 / word_share of them. A word out of it is misread if usual confusions of
+characters, or joining spaced letters, lead back into it.
 """
 
 from __future__ import annotations
@@ -33,32 +35,51 @@ CONFUSIONS = (
     ("n", "ri"), ("d", "cl"), ("u", "ii"), ("h", "li"), ("w", "vv"), ("m", "rn"), ("rn", "m"), ("cl", "d"), ("ri", "n"), ("li", "h"), ("l", "|"), ("i", "|"),
 )
 
-BODY, HEADER, PAGE, HEADING, BREAK = range(5)
-CODES = ("blank", "names", "names_page", "page", "heading", "full", "short")
-#: Start values, in state order: log-odds of a line's code and of the next state.
-EMIT = np.log(
-    np.array(
-        [
-            # blank names names_page page heading full short
-            [0.001, 0.001, 0.001, 0.001, 0.010, 0.75, 0.236],  # body
-            [0.001, 0.600, 0.390, 0.001, 0.001, 0.001, 0.006],  # header
-            [0.001, 0.001, 0.001, 0.990, 0.001, 0.001, 0.005],  # page
-            [0.001, 0.001, 0.001, 0.010, 0.900, 0.007, 0.080],  # heading
-            [0.990, 0.001, 0.001, 0.001, 0.001, 0.003, 0.003],  # break
-        ]
-    )
-)
-MOVE = np.log(
-    np.array(
-        [
-            [0.85, 0.03, 0.03, 0.02, 0.07],
-            [0.45, 0.02, 0.20, 0.03, 0.30],
-            [0.55, 0.15, 0.01, 0.04, 0.25],
-            [0.60, 0.03, 0.03, 0.29, 0.05],
-            [0.50, 0.20, 0.15, 0.05, 0.10],
-        ]
-    )
-)
+BODY, HEADER, HEADER_PAGE, PAGE, HEADING, BREAK = range(6)
+STATES = 6
+#: Start values: chance of each value of a feature in the states, in the order above.
+FEATURES = {
+    "size": (  # blank, under 0.25, 0.45, 0.7 of the longest line, longer
+        (1e-9, 0.03, 0.04, 0.05, 0.88), (1e-9, 0.20, 0.45, 0.30, 0.05), (1e-9, 0.10, 0.40, 0.40, 0.10),
+        (1e-9, 0.90, 0.05, 0.03, 0.02), (1e-9, 0.60, 0.30, 0.08, 0.02), (1.0, 1e-12, 1e-12, 1e-12, 1e-12),
+    ),
+    "names": (  # likeness to the nearest of the book's names: below 0.6, 0.78, 0.9, above
+        (0.975, 0.020, 0.0045, 0.0005), (0.001, 0.009, 0.09, 0.90), (0.001, 0.009, 0.09, 0.90),
+        (0.997, 0.001, 0.001, 0.001), (0.90, 0.08, 0.015, 0.005), (0.997, 0.001, 0.001, 0.001),
+    ),
+    "number": (  # none, alone, alone in Roman capitals, at an end behind a gap, at an end
+        (0.975, 0.0005, 0.0005, 0.002, 0.022), (0.985, 0.001, 0.001, 0.003, 0.010), (0.001, 0.001, 0.001, 0.80, 0.197),
+        (0.001, 0.996, 0.001, 0.001, 0.001), (0.50, 0.005, 0.05, 0.22, 0.225), (0.996, 0.001, 0.001, 0.001, 0.001),
+    ),
+    "case": (  # no letters, starts small, starts with a capital, all capitals, capitals at nearly all words
+        (0.005, 0.60, 0.38, 0.002, 0.013), (0.001, 0.010, 0.05, 0.45, 0.489), (0.001, 0.010, 0.05, 0.45, 0.489),
+        (0.75, 0.15, 0.08, 0.01, 0.01), (0.05, 0.10, 0.25, 0.40, 0.20), (0.996, 0.001, 0.001, 0.001, 0.001),
+    ),
+    "end": (  # nothing, full stop or the like, hyphen, comma or the like, letter, digit or bracket
+        (0.005, 0.25, 0.10, 0.07, 0.57, 0.005), (0.01, 0.20, 0.001, 0.005, 0.78, 0.004), (0.002, 0.10, 0.001, 0.001, 0.35, 0.546),
+        (0.05, 0.10, 0.05, 0.01, 0.10, 0.69), (0.01, 0.15, 0.005, 0.15, 0.185, 0.50), (0.995, 0.001, 0.001, 0.001, 0.001, 0.001),
+    ),
+    "start": (  # other, a word of headings, a dash or bullet
+        (0.990, 0.004, 0.006), (0.998, 0.001, 0.001), (0.998, 0.001, 0.001), (0.75, 0.001, 0.249), (0.30, 0.40, 0.30), (0.998, 0.001, 0.001),
+    ),
+    "place": (  # inside the text, first line, last line, only line
+        (0.77, 0.09, 0.09, 0.05), (0.84, 0.10, 0.05, 0.01), (0.84, 0.10, 0.05, 0.01), (0.64, 0.05, 0.30, 0.01), (0.35, 0.35, 0.25, 0.05), (0.94, 0.02, 0.02, 0.02),
+    ),
+    "above": (  # no line or a blank one, one that is short or ends as sentences do, a long one that goes on
+        (0.20, 0.20, 0.60), (0.30, 0.20, 0.50), (0.30, 0.20, 0.50), (0.50, 0.20, 0.30), (0.70, 0.27, 0.03), (0.05, 0.45, 0.50),
+    ),
+}
+SIZES = tuple(len(v[0]) for v in FEATURES.values())
+OFFSETS = tuple(np.cumsum((0, *SIZES))[:-1].tolist())
+VALUES = sum(SIZES)
+#: Start values: chances of the next state, and of the first one in the last row.
+MOVE = (
+    (0.85, 0.02, 0.01, 0.03, 0.02, 0.07), (0.45, 0.01, 0.01, 0.20, 0.03, 0.30), (0.55, 0.01, 0.01, 0.03, 0.05, 0.35),
+    (0.55, 0.12, 0.03, 0.01, 0.04, 0.25), (0.60, 0.02, 0.01, 0.03, 0.29, 0.05), (0.50, 0.15, 0.05, 0.15, 0.05, 0.10),
+    (0.70, 0.05, 0.03, 0.08, 0.12, 0.02),
+)
+ROUNDS = 1  # passes of re-estimation over the corpus
+PRIOR = 50.0
 
 _NUMBER = r"(?:\d{1,4}|(?=[ivxlc])c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3}))"
 PAGE_LINE = re.compile(rf"[\s\[(—–\-~*·.]*(?:(?:page|pg\.?|p\.)\s*)?{_NUMBER}[\s\])—–\-~*·.]*\Z", re.I)
@@ -68,7 +89,6 @@ TRAILING = re.compile(rf"(?<=\S)[\s|·]+[\[(—–\-]*\s*(?:(?:page|pg\.?|p\.)\s
 NUMERAL = re.compile(rf"[\[(—–\-]*{_NUMBER}[\])—–\-.]*\Z", re.I)
 PAGE_WORD = re.compile(r"(?:page|pg|p)\b", re.I)
 HEADING_WORDS = frozenset(("chapter", "section", "hymn", "part", "book", "psalm", "lecture", "sermon"))
-HEADING_LINE = re.compile(r"\s*(?:(?:chapter|section|hymn|part|book|psalm|lecture|sermon)\s+[\divxlc]+\.?\s*\Z|\S.*\S(?:\s{2,}|\.{3,})\d+\s*\Z|[-*•]\s)", re.I)
 BROKEN_END = re.compile(r"([^\W\d_][^\s\W_]*)(?P<mark>[-‐‑=¬\xad])[ \t]*\Z")
 HYPHENS = "-‐‑=¬\xad"
 TOKEN = re.compile(r"[^\s\"“”—–,.;:?()\[\]\-‐‑=¬\xad]+")
@@ -93,65 +113,119 @@ class Names:
     def __init__(self, *names: str | None) -> None:
         self.forms = [c for n in names if n and (c := canonical(n))]
         sizes = list(map(len, self.forms))
-        self.least, self.most = min(sizes, default=0) - 2, max(sizes, default=0) + 10  # confusions of two characters for one
+        self.least, self.most = min(sizes, default=0) - 4, max(sizes, default=0) + 12  # confusions of two characters for one
 
-    def match(self, text: str) -> bool:
+    def likeness(self, text: str) -> float:
+        """To the nearest name, 1 for the same but for what confusions can't tell apart."""
         if not self.forms or not self.least <= len(text.replace(" ", "")) <= self.most:
-            return False
+            return 0.0
         c = canonical(text)
-        return any(c == f or (abs(len(c) - len(f)) <= 2 and len(f) >= 8 and SequenceMatcher(None, c, f, autojunk=False).ratio() >= 0.9) for f in self.forms)
+        best = 0.0
+        for f in self.forms:
+            if c == f:
+                return 1.0
+            if len(f) >= 8 and abs(len(c) - len(f)) <= 4:
+                best = max(best, SequenceMatcher(None, c, f, autojunk=False).ratio())
+        return best
 
 
-def line_code(line: str, names: Names, width: int) -> int:
+def observed(line: str, names: Names, width: int, place: int) -> tuple[int, ...]:
+    """The features of a line, in the order of FEATURES but for the last one."""
     s = line.strip()
     if not s:
-        return 0
+        return (0, 0, 0, 0, 0, 0, place)
     n = len(s)
+    share = n / width
+    size = 4 if share >= 0.7 else 3 if share >= 0.45 else 2 if share >= 0.25 else 1
+    like, number = 0.0, 0
     if n <= 100:
         head, tail = s.split(None, 1)[0], s.rsplit(None, 1)[-1]
-        if tail is not s and (NUMERAL.match(tail) or NUMERAL.match(head) or PAGE_WORD.match(head)):
-            for m in (LEADING.match(s), TRAILING.search(s)):
-                if m and names.match(s[: m.start()] + s[m.end() :]):
-                    return 2
-        if names.match(s):
-            return 1
-        if n <= 24 and PAGE_LINE.match(s) and not (UPPER_ROMAN.match(s) and not any(ch.isdigit() for ch in s)):
-            return 3
-        if (s[-1].isdigit() or s[0] in "-*•" or head.lower() in HEADING_WORDS) and HEADING_LINE.match(line):
-            return 4
-    return 5 if n >= 0.6 * width else 6
-
-
-def label(codes: list[int], emit: np.ndarray, move: np.ndarray) -> list[int]:
-    """Most likely states of the lines."""
-    score = emit[:, codes[0]] + np.log([0.7, 0.08, 0.08, 0.12, 0.02])
-    back = []
-    for c in codes[1:]:
-        step = score[:, None] + move
-        best = step.argmax(axis=0)
-        back.append(best)
-        score = step[best, np.arange(5)] + emit[:, c]
-    states = [int(score.argmax())]
-    for b in reversed(back):
-        states.append(int(b[states[-1]]))
-    return states[::-1]
+        if n <= 24 and PAGE_LINE.match(s):
+            number = 2 if UPPER_ROMAN.match(s) and not any(ch.isdigit() for ch in s) else 1
+        else:
+            rest = s
+            if tail is not s and (NUMERAL.match(tail) or NUMERAL.match(head) or PAGE_WORD.match(head)):
+                found = [(names.likeness(s[: m.start()] + s[m.end() :]), m) for m in (LEADING.match(s), TRAILING.search(s)) if m]
+                if found:
+                    like, m = max(found, key=lambda x: x[0])
+                    number, rest = (3 if re.search(r"\s{2}|\||·", m.group()) else 4), ""
+            like = max(like, names.likeness(rest)) if rest else like
+    else:
+        head = s[:20]
+    letters = "".join(ch for ch in (s if n <= 100 else s[:100]) if ch.isalpha())
+    if not letters or number in (1, 2) and not PAGE_WORD.match(head):
+        case = 0 if not letters else 3 if letters.isupper() else 1
+    elif letters.isupper() and len(letters) > 1:
+        case = 3
+    elif not letters[0].isupper():
+        case = 1
+    else:
+        words = [w for w in s.split() if w[0].isalpha()] if n <= 100 else ()
+        case = 4 if len(words) > 1 and sum(w[0].isupper() for w in words) >= 0.6 * len(words) else 2
+    last = s[-1]
+    end = 2 if last in HYPHENS else 1 if last in ".!?\"”’" else 3 if last in ",;:" else 4 if last.isalpha() else 5 if last.isdigit() or last in ")]" else 0
+    first = head.lower().rstrip(".:")
+    start = 1 if first in HEADING_WORDS and n <= 100 else 2 if s[0] in "-–—*•" else 0
+    return (size, 3 if like >= 0.9 else 2 if like >= 0.78 else 1 if like >= 0.6 else 0, number, case, end, start, place)
 
 
-class Labels:
-    """label() with its results kept, since few sequences of codes make up most texts."""
+def lines_of(text: str, names: Names) -> tuple[list[str], list[tuple[int, ...]]]:
+    """The lines of a text and their features."""
+    lines = text.split("\n")
+    width, last = max(map(len, lines)) or 1, len(lines) - 1
+    out: list[tuple[int, ...]] = []
+    above = 0
+    for k, line in enumerate(lines):
+        size, *rest = observed(line, names, width, 3 if not last else 1 if k == 0 else 2 if k == last else 0)
+        out.append((size, *rest, above))
+        above = 0 if size == 0 else 2 if size >= 3 and rest[3] in (2, 3, 4) else 1
+    return lines, out
 
-    def __init__(self, emit: np.ndarray = EMIT, move: np.ndarray = MOVE) -> None:
-        self.emit, self.move, self.known = emit, move, {}
 
-    def __call__(self, codes: list[int]) -> list[int]:
-        key = bytes(codes)
+class Labels:
+    """Most likely states of lines; the scores of a vector of features and of a sequence of them are kept."""
+
+    def __init__(self, emit: np.ndarray | None = None, move: np.ndarray | None = None) -> None:
+        emit = start_values()[0] if emit is None else emit
+        move = start_values()[1] if move is None else move
+        self.emit, self.move, self.first = emit, move[:STATES], move[STATES]
+        self.scores: dict[tuple[int, ...], np.ndarray] = {}
+        self.known: dict[tuple[tuple[int, ...], ...], list[int]] = {}
+
+    def score(self, features: tuple[int, ...]) -> np.ndarray:
+        found = self.scores.get(features)
+        if found is None:
+            found = self.scores[features] = self.emit[:, [o + v for o, v in zip(OFFSETS, features)]].sum(axis=1)
+        return found
+
+    def __call__(self, lines: list[tuple[int, ...]]) -> list[int]:
+        key = tuple(lines)
         states = self.known.get(key)
         if states is None:
             if len(self.known) > 100_000:
                 self.known.clear()
-            states = self.known[key] = label(codes, self.emit, self.move)
+            states = self.known[key] = self._best(lines)
         return states
 
+    def _best(self, lines: list[tuple[int, ...]]) -> list[int]:
+        score = self.first + self.score(lines[0])
+        back = []
+        for x in lines[1:]:
+            step = score[:, None] + self.move
+            best = step.argmax(axis=0)
+            back.append(best)
+            score = step[best, np.arange(STATES)] + self.score(x)
+        states = [int(score.argmax())]
+        for b in reversed(back):
+            states.append(int(b[states[-1]]))
+        return states[::-1]
+
+
+def start_values() -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of the start values: states x values of all features, and moves with the first states in the last row."""
+    emit = np.concatenate([np.array(v, float) / np.sum(v, axis=1, keepdims=True) for v in FEATURES.values()], axis=1)
+    return np.log(emit), np.log(np.array(MOVE))
+
 
 class Words:
     """The vocabulary and what can be put back into it."""
@@ -207,15 +281,8 @@ def repair(text: str, names: Names, words: Words, labels: Labels) -> tuple[str,
     """(clean text, kinds of noise)."""
     noise: set[str] = set()
     text = html.unescape(text) if "&" in text else text
-    lines = text.split("\n")
-    if len(lines) > 1:
-        width = max(map(len, lines))
-        codes = [line_code(x, names, width) for x in lines]
-        states = labels(codes)
-    else:
-        codes, states = [line_code(text, names, len(text) or 1)], [BODY]
-        if codes[0] in (1, 2, 3):
-            states = [HEADER if codes[0] < 3 else PAGE]
+    lines, features = lines_of(text, names)
+    states = labels(features)
     paragraphs: list[str] = []
     held: list[str] = []  # lines of the open paragraph; the last one may still take the rest of a word
     gap = False
@@ -225,16 +292,16 @@ def repair(text: str, names: Names, words: Words, labels: Labels) -> tuple[str,
             paragraphs.append(" ".join(held).strip())
             held.clear()
 
-    for line, code, state in zip(lines, codes, states):
-        if code in (1, 2) and state == HEADER:
+    for line, state in zip(lines, states):
+        if state in (HEADER, HEADER_PAGE):
             noise.add("running_header")
-            if code == 2:
+            if state == HEADER_PAGE:
                 noise.add("page_number")
-        elif code == 3 and state == PAGE:
+        elif state == PAGE:
             noise.add("page_number")
-        elif code == 0:
+        elif state == BREAK:
             gap = True
-        elif state == HEADING or code == 4:
+        elif state == HEADING:
             close()
             paragraphs.append(line.strip())
             gap = False
@@ -383,41 +450,51 @@ class _NameCache:
         return self.known[names]
 
 
-def _train(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The model re-estimated from its own labels over the whole corpus; the counts are 5 x 7 and 5 x 5 cells."""
+def _train(lines: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """The model re-estimated from its own labels over the whole corpus; the counts are states x values and states x states cells."""
+    start = [np.exp(x) for x in start_values()]
+    emit, move = start_values()
+    size = STATES * VALUES
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-        labels, cache = Labels(), _NameCache()
-        cells: Counter[int] = Counter()
+    def counted(batches: Iterator[pa.RecordBatch], emit: np.ndarray, move: np.ndarray) -> Iterator[pa.RecordBatch]:
+        seen: Counter[tuple[tuple[int, ...], ...]] = Counter()
+        labels, cache = Labels(emit, move), _NameCache()
+        cells = np.zeros(size + (STATES + 1) * STATES, np.int64)
 
         def add() -> None:
-            for codes, n in seen.items():
-                states = labels(list(codes))
-                for s, c in zip(states, codes):
-                    cells[s * 7 + c] += n
+            for features, n in seen.items():
+                states = labels(list(features))
+                cells[size + STATES * STATES + states[0]] += n
+                for s, x in zip(states, features):
+                    for o, v in zip(OFFSETS, x):
+                        cells[s * VALUES + o + v] += n
                 for a, b in zip(states, states[1:]):
-                    cells[35 + a * 5 + b] += n
+                    cells[size + a * STATES + b] += n
             seen.clear()
 
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(1, 5)]
             for text, *names in zip(*columns):
-                if "\n" in text or "&#10;" in text:
-                    parts = (html.unescape(text) if "&" in text else text).split("\n")
-                    width, book = max(map(len, parts)), cache(*names)
-                    seen[bytes([line_code(x, book, width) for x in parts])] += 1
-            if len(seen) > 100_000:
+                if text:
+                    seen[tuple(lines_of(html.unescape(text) if "&" in text else text, cache(*names))[1])] += 1
+            if len(seen) > 20_000:
                 add()
         add()
-        yield pa.RecordBatch.from_arrays([pa.array(list(cells), pa.int32()), pa.array(list(cells.values()), pa.int64())], names=["cell", "n"])
-
-    counts = np.zeros(60)
-    for r in lines.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        counts[r.cell] = r.n
-    emit = counts[:35].reshape(5, 7) + 50 * np.exp(EMIT)  # the start values weigh as 50 lines a state
-    move = counts[35:].reshape(5, 5) + 50 * np.exp(MOVE)
-    return np.log(emit / emit.sum(axis=1, keepdims=True)), np.log(move / move.sum(axis=1, keepdims=True))
+        used = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(cells[used])], names=["cell", "n"])
+
+    for _ in range(rounds):
+        run = lambda batches, emit=emit, move=move: counted(batches, emit, move)
+        counts = np.zeros(size + (STATES + 1) * STATES)
+        for r in lines.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            counts[r.cell] = r.n
+        # the start values weigh as PRIOR lines a state
+        e = counts[:size].reshape(STATES, VALUES) + PRIOR * start[0]
+        for o, n in zip(OFFSETS, SIZES):
+            e[:, o : o + n] /= e[:, o : o + n].sum(axis=1, keepdims=True)
+        m = counts[size:].reshape(STATES + 1, STATES) + PRIOR * start[1]
+        emit, move = np.log(e), np.log(m / m.sum(axis=1, keepdims=True))
+    return emit, move
 
 
 def repaired(

@@ -3,10 +3,12 @@
 import random
 import re
 
-from folioforge.llm.page_noise import BODY, CONFUSIONS, HEADER, PAGE, Names, Words, label, line_code, repaired
+from folioforge.llm.page_noise import BODY, BREAK, FEATURES, HEADER, HEADER_PAGE, HEADING, PAGE, Labels, Names, Words, lines_of, repaired
 
 WORDS = "the granary warned sudden gatekeeper inwardly measured congregation while harbour blessed orchard morning steeple lantern sorrow journey whisper remember twice-told grave-faced servant village thunder".split()
 SCHEMA = "node_id bigint, source_file string, text string, id string, title string"
+#: What the tests plant: the usual misreadings of printed letters, of their own and not those of the operator.
+MISREAD = [("o", "0"), ("l", "1"), ("i", "l"), ("e", "c"), ("rn", "m"), ("m", "rn"), ("h", "li"), ("d", "cl"), ("n", "ri"), ("s", "5"), ("g", "9")]
 CATALOG = [("a.pdf", "The Quiet Harbour, or the Papers", "The Quiet Harbour", "Ann Lurie", 1), ("b.PDF", "Other Things", None, None, 1), (None, "x", "y", "z", 1)]
 
 
@@ -40,7 +42,7 @@ def plant(rng, text, kind):
         cut = rng.randrange(2, len(word) - 2)
         lines[k : k + 1] = [f"{a} {word[:cut]}{rng.choice('-‐=¬')}", f"{word[cut:]} {b}"]
     elif kind == "misread":
-        printed, read = rng.choice([c for c in CONFUSIONS if c[0] in lines[k].split(" ", 1)[1]])
+        printed, read = rng.choice([c for c in MISREAD if c[0] in lines[k].split(" ", 1)[1]])
         head, rest = lines[k].split(" ", 1)
         lines[k] = head + " " + rest.replace(printed, read, 1)
     elif kind == "running_header":
@@ -72,14 +74,27 @@ def test_planted(spark):
     assert found.columns == ["node_id", "noise"] and repaired(df.limit(0), catalog).count() == 0
 
 
-def test_layout():
-    names = Names("The Quiet Harbour", None, "Ann Lurie")
-    code = lambda s: line_code(s, names, 60)
-    assert [code(s) for s in ("", "ANN LURIE", "12   The Quiet Harbour", "The Quiet Harbour      xi", "p. 9", "CHAPTER XIV", "Prayers   52", "HYMN 4", "- of the lamp;")] == [0, 1, 2, 2, 3, 4, 4, 4, 4]
-    assert code("XIV") != 3 and code("x" * 50) == 5 and code("short line") == 6
-    from folioforge.llm.page_noise import EMIT, MOVE
+def states(text, names):
+    return Labels()(lines_of(text, names)[1])
+
 
-    assert label([5, 0, 1, 3, 5, 6], EMIT, MOVE)[2:5] == [HEADER, PAGE, BODY]
+def test_labels():
+    names = Names("The Quiet Harbour", None, "Ann Lurie")
+    long = "The sudden lantern inwardly measured the steeple while the village"
+    for line, state in [
+        ("", BREAK), ("ANN LURIE", HEADER), ("12   The Quiet Harbour", HEADER_PAGE), ("The Quiet Harbour      xi", HEADER_PAGE), ("Thc Quict Harb0ur", HEADER),
+        ("p. 9", PAGE), ("- 241 -", PAGE), ("[88]", PAGE), ("CHAPTER XIV", HEADING), ("Prayers   52", HEADING), ("HYMN 4", HEADING), ("warned.", BODY), ("1700.", PAGE),
+    ]:
+        assert states(f"{long}.\n{line}\n{long}\nended here.", names)[1] == state, line
+    assert states("The Quiet Harbour", names) == [HEADER] and states("217", names) == [PAGE] and states(long, names) == [BODY]
+    assert len({len(v) for v in FEATURES.values()}) == 1
+
+
+def test_the_lines_around_decide():
+    names = Names("The Quiet Harbour")
+    long = "The sudden lantern inwardly measured the steeple while the village"
+    inside, apart = states(f"{long}\nOld Ann Lurie\n{long}.", names), states(f"{long}.\n\nOld Ann Lurie\n\n{long}.", names)
+    assert inside[1] == BODY and apart[2] == HEADING
 
 
 def test_words():
