@@ -107,12 +107,16 @@ def canonical(text: str) -> str:
     return t.translate(str.maketrans("0196|5cfs", "olgbltett"))
 
 
+def _twos(text: str) -> frozenset[str]:
+    return frozenset(text[k : k + 2] for k in range(len(text) - 1))
+
+
 class Names:
     """The names of a book that a running header may repeat."""
 
     def __init__(self, *names: str | None) -> None:
-        self.forms = [c for n in names if n and (c := canonical(n))]
-        sizes = list(map(len, self.forms))
+        self.forms = [(c, _twos(c)) for n in names if n and (c := canonical(n))]
+        sizes = [len(c) for c, _ in self.forms]
         self.least, self.most = min(sizes, default=0) - 4, max(sizes, default=0) + 12  # confusions of two characters for one
 
     def likeness(self, text: str) -> float:
@@ -121,10 +125,11 @@ class Names:
             return 0.0
         c = canonical(text)
         best = 0.0
-        for f in self.forms:
+        twos = _twos(c)
+        for f, held in self.forms:
             if c == f:
                 return 1.0
-            if len(f) >= 8 and abs(len(c) - len(f)) <= 4:
+            if len(f) >= 8 and abs(len(c) - len(f)) <= 4 and len(twos & held) >= 0.4 * len(held):
                 best = max(best, SequenceMatcher(None, c, f, autojunk=False).ratio())
         return best
 
@@ -152,13 +157,13 @@ def observed(line: str, names: Names, width: int, place: int) -> tuple[int, ...]
             like = max(like, names.likeness(rest)) if rest else like
     else:
         head = s[:20]
-    letters = "".join(ch for ch in (s if n <= 100 else s[:100]) if ch.isalpha())
-    if not letters or number in (1, 2) and not PAGE_WORD.match(head):
-        case = 0 if not letters else 3 if letters.isupper() else 1
-    elif letters.isupper() and len(letters) > 1:
+    lead = s[0] if s[0].isalpha() else next(filter(str.isalpha, s), "")
+    if number in (1, 2) and not PAGE_WORD.match(head):
+        case = 0 if not lead else 3 if s.isupper() else 1
+    elif not lead.isupper():
+        case = 1 if lead else 0
+    elif n > 1 and s.isupper():
         case = 3
-    elif not letters[0].isupper():
-        case = 1
     else:
         words = [w for w in s.split() if w[0].isalpha()] if n <= 100 else ()
         case = 4 if len(words) > 1 and sum(w[0].isupper() for w in words) >= 0.6 * len(words) else 2
