@@ -1,13 +1,14 @@
 """Items that appear together: a blocked Gram matrix of binary baskets.
 
-Items get codes; a batch of records becomes sparse 0/1 blocks of `BLOCK` item columns, and X_i' X_j of every two non-empty
-blocks is added up in the task. Only the non-zero cells of the task's sums leave it, so no record's pairs are ever
-emitted; sums of all tasks are added by Spark, and the diagonal gives the marginals. Expected counts under independence
-are n_a * n_b / N.
+Items get codes; CHUNK records at a time are a sparse 0/1 matrix X by rows, and X' X of every chunk is added up in the task:
+the non-zero cells of a product come from the sorted codes of each row, some PAIRS of them at once, and equal cells are
+summed before the next. So the work and the memory of a task follow the cells that occur, not the width of the dictionary.
+Only sums leave the task, so no record's pairs are ever emitted; sums of all tasks are added by Spark, and the diagonal
+gives the marginals. Expected counts under independence are n_a * n_b / N.
 
 A minimum support s bounds the dictionary: at most (mean basket size) / s items can reach it, however large the corpus,
-and only those take part. Where no support is asked for, a dictionary beyond `dictionary_items` isn't sent to the tasks;
-codes then reach the records by a join.
+and only those take part. A dictionary beyond `dictionary_items` rows or DICTIONARY_BYTES isn't sent to the tasks; codes then
+reach the records by a join.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from folioforge.llm.common import one_per_record, squeezed
 from folioforge.operators.numbering import number_rows
 from folioforge.session import cut_lineage
 
-BLOCK = 1024
 CHUNK = 4096  # records in one product
-CELLS = 64 << 20  # cells that a task holds before it hands them over: 256 MB of int32
+PAIRS = 1 << 21  # cells of products that are worked off at once
+CELLS = 1 << 22  # sums that a task holds before it hands them over: 64 MB
+DICTIONARY_BYTES = 16 << 20
 
 
 def baskets(records: DataFrame, key: str, lists: Sequence[str]) -> DataFrame:
@@ -41,40 +43,48 @@ def baskets(records: DataFrame, key: str, lists: Sequence[str]) -> DataFrame:
 
 
 class _Gram:
-    """Sums of products by block pair."""
+    """Sums of sparse products."""
 
     def __init__(self) -> None:
-        self.sums: dict[tuple[int, int], np.ndarray] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
 
     def add(self, rows: np.ndarray, codes: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-        """rows, codes: the non-zero cells of n records, codes as int64. Yields the sums so far whenever they are too many."""
-        blocks = codes // BLOCK
-        dense: dict[int, np.ndarray] = {}
-        for b in np.unique(blocks):
-            m = blocks == b
-            x = np.zeros((n, BLOCK), np.float32)
-            x[rows[m], codes[m] % BLOCK] = 1
-            dense[int(b)] = x
-        order = sorted(dense)
-        for i, a in enumerate(order):
-            for b in order[i:]:
-                both = np.flatnonzero(dense[a].any(axis=1) & dense[b].any(axis=1))
-                if len(both):
-                    product = (dense[a][both].T @ dense[b][both]).astype(np.int32)  # exact: counts up to CHUNK
-                    if (a, b) in self.sums:
-                        self.sums[a, b] += product
-                    else:
-                        self.sums[a, b] = product
-                    if len(self.sums) * BLOCK * BLOCK > CELLS:
-                        yield from self.cells()
+        """rows, codes: the non-zero cells of n records, distinct, codes as int64 below 2^31. Yields the sums so far whenever they are too many."""
+        order = np.lexsort((codes, rows))
+        rows, codes = rows[order], codes[order]
+        ends = np.cumsum(np.bincount(rows, minlength=n))
+        reach = ends[rows] - np.arange(len(rows))  # each code meets itself and those behind it in its row
+        total = np.cumsum(reach)
+        at = 0
+        while at < len(codes):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+            r = reach[at:to]
+            left = np.repeat(np.arange(at, to), r)
+            right = left + np.arange(len(left)) - np.repeat(np.cumsum(r) - r, r)
+            keys, counts = np.unique(codes[left] << 31 | codes[right], return_counts=True)
+            self.parts.append((keys, counts))
+            self.held += len(keys)
+            if self.held > CELLS:
+                self._merge()
+                if self.held > CELLS // 2:
+                    yield from self.cells()
+            at = to
+
+    def _merge(self) -> None:
+        if len(self.parts) > 1:
+            keys, counts = (np.concatenate(x) for x in zip(*self.parts))
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            self.parts = [(keys[first], np.add.reduceat(counts, first))]
+            self.held = len(first)
 
     def cells(self) -> Iterator[pa.RecordBatch]:
-        for (a, b), s in self.sums.items():
-            i, j = np.nonzero(s)
-            if a == b:
-                i, j = i[k := i <= j], j[k]
-            yield pa.RecordBatch.from_arrays([pa.array(i + a * BLOCK), pa.array(j + b * BLOCK), pa.array(s[i, j].astype(np.int64))], names=["a", "b", "n"])
-        self.sums = {}
+        self._merge()
+        for keys, counts in self.parts:
+            yield pa.RecordBatch.from_arrays([pa.array(keys >> 31), pa.array(keys & ((1 << 31) - 1)), pa.array(counts.astype(np.int64))], names=["a", "b", "n"])
+        self.parts, self.held = [], 0
 
 
 def _gram(coded: DataFrame, names: list[str] | None) -> DataFrame:
@@ -82,7 +92,7 @@ def _gram(coded: DataFrame, names: list[str] | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram = _Gram()
-        known = pa.array(names, pa.string()) if names is not None else None
+        known = {name: k for k, name in enumerate(names)} if names is not None else None
         for batch in batches:
             for start in range(0, batch.num_rows, CHUNK):
                 lists = batch.column(0).slice(start, CHUNK)
@@ -90,7 +100,9 @@ def _gram(coded: DataFrame, names: list[str] | None) -> DataFrame:
                 sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 rows = np.repeat(np.arange(len(lists)), sizes)
                 if known is not None:
-                    values = pc.index_in(values, known)
+                    told = values.dictionary_encode()
+                    code_of = pa.array([known.get(x) for x in told.dictionary.to_pylist()], pa.int64())
+                    values = code_of.take(told.indices)
                 kept = pc.is_valid(values).to_numpy(zero_copy_only=False)
                 codes = pc.fill_null(values, 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 yield from gram.add(rows[kept], codes[kept], len(lists))
@@ -111,10 +123,11 @@ def cooccurrence(
     total = held.count()
     need = max(min_count, math.ceil(min_support * total - 1e-9))
     counts = held.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n_item")).where(F.col("n_item") >= need)
-    few = counts.select("item").limit(dictionary_items + 1).collect()
+    counts = cut_lineage(counts)
     spark = records.sparkSession
-    if len(few) <= dictionary_items:
-        names = sorted(r.item for r in few)
+    size = counts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("item")), F.lit(0)).alias("bytes")).first()
+    if size.n <= dictionary_items and size.bytes <= DICTIONARY_BYTES:
+        names = sorted(r.item for r in counts.select("item").collect())
         codes = spark.createDataFrame(list(enumerate(names)), "code bigint, item string")
         cells = _gram(held.select("items"), names)
     else:
