@@ -1,15 +1,25 @@
-"""Edges between nodes that share items, and what is done with edge tables."""
+"""Edges between nodes that share items, and what is done with edge tables.
+
+Shared items are counted as a blocked matrix product: nodes are dealt into blocks of some NODES by hash, and the postings of
+an item go to every two blocks that it has nodes in. All items that two nodes share thus meet in one cell, so the pairs
+are added up there in arrays of NODES x NODES and never shuffled. A hub item is spread over all cells, and a cell is
+bounded whatever the items.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import trimmed_items
 
-BLOCK = 2_000  # nodes of an item that meet in one task, if the item has no cap
+NODES = 1_500  # nodes of a block
+PAIRS = 1 << 21  # pairs that a cell adds up at once
 
 
 def item_table(nodes: DataFrame, node: str, fields: Mapping[str, str]) -> DataFrame:
@@ -24,37 +34,100 @@ def inverted_index(items: DataFrame) -> DataFrame:
     return items.groupBy("edge_type", "item").agg(F.count(F.lit(1)).alias("n_nodes"), F.min("node").alias("first_node"))
 
 
-def _item_pairs(items: DataFrame, least_nodes: int, most_nodes: int | None) -> DataFrame:
-    """(edge_type, item, src, dst), src < dst: the self-join. Without a cap the nodes of an item are dealt into blocks and each pair
-    of blocks is a join key of its own, so no task holds all pairs of a hub item."""
+def _usable(items: DataFrame, least_nodes: int, most_nodes: int | None) -> DataFrame:
+    """(edge_type, item, node) of the items with least_nodes to most_nodes nodes."""
     counted = items.groupBy("edge_type", "item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_nodes)
     if most_nodes is not None:
-        usable = items.join(counted.where(F.col("n") <= most_nodes).select("edge_type", "item"), ["edge_type", "item"], "left_semi")
-        a, b = usable.withColumnRenamed("node", "src"), usable.withColumnRenamed("node", "dst")
-        return a.join(b, ["edge_type", "item"]).where("src < dst")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    dealt = items.join(counted, ["edge_type", "item"]).select("edge_type", "item", "node", F.pmod(F.xxhash64("node"), blocks).alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("met"))
-    a = dealt.select("edge_type", "item", F.col("own").alias("p"), F.col("met").alias("q"), F.col("node").alias("src"))
-    b = dealt.select("edge_type", "item", F.col("met").alias("p"), F.col("own").alias("q"), F.col("node").alias("dst"))
-    return a.join(b, ["edge_type", "item", "p", "q"]).where("src < dst").select("edge_type", "item", "src", "dst")
+        counted = counted.where(F.col("n") <= most_nodes)
+    return items.join(counted.select("edge_type", "item"), ["edge_type", "item"], "left_semi")
+
+
+def _added_up(left: pa.Table, right: pa.Table, same: bool, min_weight: int, max_shared: int) -> pa.Table:
+    """(src, dst, weight, shared) of the node pairs between two blocks of postings (item, node), sorted by item; all of one type."""
+    rows, cols = (pc.unique(t.column("node")) for t in (left, right))
+    rows, cols = (x.take(pc.array_sort_indices(x)) for x in (rows, cols))
+    a, b = pc.index_in(left.column("node"), rows).to_numpy(), pc.index_in(right.column("node"), cols).to_numpy()
+    names = pc.unique(left.column("item"))  # in ascending order
+    ia, ib = pc.index_in(left.column("item"), names).to_numpy(), pc.index_in(right.column("item"), names)
+    known = pc.is_valid(ib).to_numpy()
+    b, ib = b[known], pc.fill_null(ib, 0).to_numpy()[known]
+    start, size = np.searchsorted(ib, np.arange(len(names))), np.bincount(ib, minlength=len(names))
+    width = len(cols)
+    weight = np.zeros(len(rows) * width, np.int32)
+    first = np.full((max_shared, len(weight)), -1, np.int32)
+    reach = size[ia]
+    total = np.cumsum(reach)
+    at = 0
+    while at < len(a):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+        r = reach[at:to]
+        x = np.repeat(a[at:to], r)
+        y = b[np.repeat(start[ia[at:to]], r) + np.arange(len(x)) - np.repeat(np.cumsum(r) - r, r)]
+        key, item = x.astype(np.int64) * width + y, np.repeat(ia[at:to], r)
+        if same:  # each pair once
+            kept = x < y
+            key, item = key[kept], item[kept]
+        if max_shared:
+            order = np.argsort(key, kind="stable")
+            k, i = key[order], item[order]
+            new = np.ones(len(k), bool)
+            new[1:] = k[1:] != k[:-1]
+            begin = np.flatnonzero(new)
+            nth = np.arange(len(k)) - np.repeat(begin, np.diff(np.append(begin, len(k)))) + weight[k]
+            few = nth < max_shared
+            first[nth[few], k[few]] = i[few]
+        weight += np.bincount(key, minlength=len(weight)).astype(np.int32)
+        at = to
+    found = np.flatnonzero(weight >= min_weight)
+    src, dst = rows.take(pa.array(found // width)), cols.take(pa.array(found % width))
+    turned = pc.greater(src, dst)
+    out = {"src": pc.if_else(turned, dst, src), "dst": pc.if_else(turned, src, dst), "weight": pa.array(weight[found].astype(np.int64))}
+    if max_shared:
+        held = first[:, found].T.ravel()
+        flat = names.take(pa.array(held[held >= 0]))
+        offsets = np.concatenate(([0], np.cumsum(np.minimum(weight[found], max_shared))))
+        out["shared"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+    return pa.table(out)
+
+
+def _weighted(items: DataFrame, min_weight: int, max_shared: int) -> DataFrame:
+    """(src, dst, edge_type, weight, shared) for the node pairs of items (edge_type, item, node); shared only if max_shared."""
+    n_nodes = items.select(F.approx_count_distinct("node")).first()[0]
+    blocks = max(1, -(-n_nodes // NODES))
+    dealt = items.select("edge_type", "item", "node", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block"))
+    met = dealt.groupBy("edge_type", "item").agg(F.collect_set("block").alias("met"))  # at most `blocks` numbers
+    spread = dealt.join(met, ["edge_type", "item"]).select("edge_type", "item", "node", "block", F.explode("met").alias("other"))
+    cells = spread.select(F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "edge_type", "item", "node", "block")
+    fields = "src string, dst string, edge_type string, weight bigint" + (", shared array<string>" if max_shared else "")
+    schema = pa.schema([("src", pa.string()), ("dst", pa.string()), ("edge_type", pa.string()), ("weight", pa.int64()), *([("shared", pa.list_(pa.string()))] if max_shared else [])])
+
+    def run(cell: pa.Table) -> pa.Table:
+        p, q = cell.column("p")[0].as_py(), cell.column("q")[0].as_py()
+        out = []
+        for kind in pc.unique(cell.column("edge_type")).to_pylist():
+            own = cell.filter(pc.equal(cell.column("edge_type"), kind)).sort_by("item").combine_chunks()
+            left, right = (own.filter(pc.equal(own.column("block"), x)).combine_chunks() for x in (p, q))
+            found = _added_up(left, right, p == q, min_weight, max_shared)
+            out.append(found.append_column("edge_type", pa.array([kind] * len(found), pa.string())).select(schema.names).cast(schema))
+        return pa.concat_tables(out)
+
+    return cells.groupBy("p", "q").applyInArrow(run, fields)
 
 
 def shared_item_edges(items: DataFrame, *, least_nodes: int = 2, most_nodes: int | None = 10_000, min_overlap: int = 1, max_shared: int = 3) -> DataFrame:
     """(src, dst, edge_type, weight, shared): node pairs src < dst with the number of items they share, by type.
 
-    Items of fewer than least_nodes or more than most_nodes nodes make no edges: the definition of the operator, applied
-    before the self-join, whose size is thereby bounded for each item; most_nodes=None lifts it. min_overlap holds for a
-    pair and type. shared lists the first max_shared items in ascending order; the weight counts all.
+    Items of fewer than least_nodes or more than most_nodes nodes make no edges: the definition of the operator;
+    most_nodes=None lifts it. min_overlap holds for a pair and type. shared lists the first max_shared items in ascending
+    order; the weight counts all. Rows with a null type, item or node make no edges; no rows give none.
     """
-    pairs = _item_pairs(items, least_nodes, most_nodes)
-    out = pairs.groupBy("src", "dst", "edge_type").agg(F.count(F.lit(1)).alias("weight"), F.array_sort(F.collect_list("item")).alias("shared"))
-    return out.where(F.col("weight") >= min_overlap).withColumn("shared", F.slice("shared", 1, max_shared))
+    return _weighted(_usable(items, least_nodes, most_nodes), min_overlap, max_shared)
 
 
 def overlap_edges(items: DataFrame, *, min_weight: int = 1, most_nodes: int | None = None) -> DataFrame:
     """(src, dst, weight): items shared in all types together. Every item counts, unless most_nodes leaves out those of more nodes."""
-    pairs = _item_pairs(items, 2, most_nodes)
-    return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")).where(F.col("weight") >= min_weight)
+    usable = _usable(items, 2, most_nodes)
+    return _weighted(usable.select(F.lit("any").alias("edge_type"), F.concat_ws("\u0001", "edge_type", "item").alias("item"), "node"), min_weight, 0).drop("edge_type")
 
 
 def unordered(edges: DataFrame, a: str = "node1", b: str = "node2") -> DataFrame:

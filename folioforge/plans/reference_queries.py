@@ -74,15 +74,8 @@ def shared_item_edges(spark, sf):
     return out.withColumn("shared", F.array_join("shared", "|"))
 
 
-@query(f"""WITH {ITEMS}, c AS (SELECT edge_type, item FROM items GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 10000),
-u AS (SELECT i.* FROM items i JOIN c USING (edge_type, item))
-SELECT a.node AS src, b.node AS dst, count(*) AS weight FROM u a JOIN u b ON a.edge_type = b.edge_type AND a.item = b.item AND a.node < b.node GROUP BY 1, 2 HAVING count(*) >= 3""")
-def semantic_overlap_edges(spark, sf):
-    return shared_edges.overlap_edges(items(spark, sf), min_weight=3, most_nodes=10_000)
-
-
 @query(f"""WITH {ITEMS} SELECT a.node AS src, b.node AS dst, count(*) AS weight FROM items a JOIN items b ON a.edge_type = b.edge_type AND a.item = b.item AND a.node < b.node GROUP BY 1, 2""")
-def semantic_edges(spark, sf):
+def semantic_overlap_edges(spark, sf):
     """Every pair of nodes that share an item, with the number of all items they share: no cap and no least weight."""
     return shared_edges.overlap_edges(items(spark, sf))
 
@@ -226,25 +219,12 @@ def alias_merge(spark, sf):
     return graph.merge_aliases(between, names.select(F.col("source_file").alias("alias"), filenames.copy_stem(F.col("source_file")).alias("canonical")))
 
 
-@query(f"""WITH {CHUNKS}, e AS (SELECT DISTINCT node1 AS original_id FROM edges WHERE node1 IS NOT NULL),
-h AS (SELECT original_id, source_file AS hint FROM e LEFT JOIN chunks ON unique_id = original_id),
-r AS (SELECT DISTINCT label, id, original_source_file AS f FROM simple_gml_to_csv),
-j AS (SELECT h.original_id, h.hint, count(r.id) AS n, count(r.id) FILTER (r.f = h.hint) AS nf FROM h LEFT JOIN r ON r.label = h.original_id GROUP BY 1, 2)
-SELECT CASE WHEN n = 0 THEN 'missing' WHEN n = 1 OR nf = 1 THEN 'resolved' ELSE 'ambiguous' END AS status, count(*) AS n FROM j GROUP BY 1""")
-def endpoint_resolution(spark, sf):
-    ends = table(spark, sf, "edges").where("node1 is not null").select(F.col("node1").alias("original_id")).distinct()
-    hints = chunks(spark, sf).select(F.col("unique_id").alias("original_id"), F.col("source_file").alias("hint"))
-    registry = table(spark, sf, "simple_gml_to_csv").select(F.col("label").alias("original_id"), F.col("id").alias("final_id"), F.col("original_source_file").alias("source_file"))
-    found = graph.resolve_endpoints(ends.join(hints, "original_id", "left").withColumn("end_id", F.col("original_id")), registry)
-    return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(f"""WITH {CHUNKS}, r AS (SELECT DISTINCT label, id, original_source_file AS f FROM simple_gml_to_csv),
 e AS (SELECT node1, node2, row_number() OVER () AS k FROM edges), x AS (SELECT k, node1 AS o, 1 AS side FROM e UNION ALL SELECT k, node2, 2 FROM e),
 j AS (SELECT k, side, count(r.id) AS n, count(r.id) FILTER (r.f = c.source_file) AS nf FROM x LEFT JOIN chunks c ON c.unique_id = o LEFT JOIN r ON r.label = o GROUP BY 1, 2),
 s AS (SELECT k, max(CASE WHEN n = 0 THEN 'missing' WHEN n = 1 OR nf = 1 THEN 'resolved' ELSE 'ambiguous' END) FILTER (side = 1) AS a, max(CASE WHEN n = 0 THEN 'missing' WHEN n = 1 OR nf = 1 THEN 'resolved' ELSE 'ambiguous' END) FILTER (side = 2) AS b FROM j GROUP BY 1)
 SELECT CASE WHEN a <> 'resolved' THEN a ELSE b END AS status, count(*) AS n FROM s GROUP BY 1""")
-def edge_resolution(spark, sf):
+def endpoint_resolution(spark, sf):
     """Edge rows by what becomes of them when both ends are resolved; a loaded repetition is a row of its own."""
     hints = chunks(spark, sf).select(F.col("unique_id").alias("original_id"), F.col("source_file").alias("hint"))
     registry = table(spark, sf, "simple_gml_to_csv").select(F.col("label").alias("original_id"), F.col("id").alias("final_id"), F.col("original_source_file").alias("source_file"))
@@ -271,20 +251,11 @@ def export_nodes(spark, sf):
     return export.export_nodes(table(spark, sf, "build_graph"), "export")
 
 
-@query("""WITH r AS (SELECT id, source_file || chr(1) || text AS kt, text, source_file || chr(1) || entities AS ke, entities, source_file || chr(1) || parent_id AS kp, parent_id FROM simple_gml_to_csv WHERE id IS NOT NULL)
-SELECT id, arg_max(text, kt) FILTER (text <> '' AND kt IS NOT NULL) AS text, arg_max(entities, ke) FILTER (entities <> '' AND ke IS NOT NULL) AS entities,
-arg_max(parent_id, kp) FILTER (parent_id <> '' AND kp IS NOT NULL) AS parent_id FROM r GROUP BY 1""")
-def graph_compose_last_wins(spark, sf):
-    rows = table(spark, sf, "simple_gml_to_csv").where("source_file is not null")
-    every = table(spark, sf, "simple_gml_to_csv").where("id is not null").select("id").distinct()
-    return every.join(graph.compose(rows, "id", "source_file", ["text", "entities", "parent_id"]), "id", "left")
-
-
 ATTRIBUTES = ("text", "entities", "keywords", "figures", "parent_id", "label", "node_label", "original_source_file")
 
 
 @query("SELECT id, " + ", ".join(f"arg_max({a}, source_file || chr(1) || {a}) FILTER ({a} <> '' AND source_file IS NOT NULL) AS {a}" for a in ATTRIBUTES) + " FROM simple_gml_to_csv WHERE id IS NOT NULL GROUP BY 1")
-def graph_compose_all_attributes(spark, sf):
+def graph_compose_last_wins(spark, sf):
     """Each node once, every attribute from the last graph that gives it a value."""
     rows = table(spark, sf, "simple_gml_to_csv")
     every = rows.where("id is not null").select("id").distinct()
@@ -296,49 +267,47 @@ def prefix_on_conflict_merge(spark, sf):
     return graph.merge_with_prefix(table(spark, sf, "simple_gml_to_csv").select("source_file", "label"), "source_file", "label")
 
 
-def _strong(least: int) -> str:
-    return f"{TYPED}, strong AS (SELECT src, dst, sum(weight)::BIGINT AS weight FROM typed WHERE src <> dst GROUP BY 1, 2 HAVING sum(weight) >= {least})"
-
-
-def _weighted_pairs(spark, sf, least):
-    return typed_edges(spark, sf).where("src <> dst").groupBy("src", "dst").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= least)
+def _weighted_pairs(spark, sf):
+    return typed_edges(spark, sf).where("src <> dst").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-@query(f"""WITH RECURSIVE {_strong(2)}, s AS (SELECT src AS a, dst AS b FROM strong UNION SELECT dst, src FROM strong),
-reach AS (SELECT a AS node, a AS other FROM s UNION SELECT r.node, s.b FROM reach r JOIN s ON s.a = r.other)
-SELECT node, min(other) AS component FROM reach GROUP BY 1""")
+@query(f"""WITH RECURSIVE {PAIRS}, nodes AS (SELECT DISTINCT unique_id AS node FROM build_graph WHERE unique_id IS NOT NULL UNION SELECT src FROM pairs UNION SELECT dst FROM pairs),
+s AS (SELECT src AS a, dst AS b FROM pairs UNION ALL SELECT dst, src FROM pairs),
+reach(node, component) USING KEY (node) AS (SELECT node, node FROM nodes UNION
+  SELECT s.b, min(r.component) FROM reach r JOIN s ON s.a = r.node JOIN recurring.reach o ON o.node = s.b WHERE r.component < o.component GROUP BY s.b)
+SELECT node, component FROM reach""")
 def connected_component_labels(spark, sf):
-    return connected_components(_weighted_pairs(spark, sf, 2))
-
-
-@query()
-def whole_graph_components(spark, sf):
     """The component of every node, over all pairs of any weight; a node without an edge is one of its own."""
     nodes = table(spark, sf, "build_graph").where("unique_id is not null").select(F.col("unique_id").alias("node")).distinct()
     return nodes.join(connected_components(pairs(spark, sf)), "node", "full").select("node", F.coalesce("component", "node").alias("component"))
 
 
-@query(f"""WITH RECURSIVE {_strong(1)}, s AS (SELECT src AS a, dst AS b, src || chr(1) || dst AS e, weight AS w FROM strong UNION ALL SELECT dst, src, src || chr(1) || dst, weight FROM strong WHERE src <> dst),
-st AS (SELECT DISTINCT unique_id AS node FROM build_graph WHERE source_file LIKE 'The_Ample_C%'),
-t AS (SELECT node AS start, node AS here, []::VARCHAR[] AS used, 0::BIGINT AS total, 0 AS n FROM st
-  UNION ALL SELECT start, b, list_append(used, e), total + w, n + 1 FROM t JOIN s ON s.a = t.here WHERE n < 3 AND NOT list_contains(used, e))
-SELECT start, here AS finish, n AS n_hops, total AS weight FROM t WHERE n >= 1""")
-def k_hop_paths(spark, sf):
-    starts = table(spark, sf, "build_graph").where(F.col("source_file").startswith("The_Ample_C")).select(F.col("unique_id").alias("node")).distinct()
-    return graph.trails(_weighted_pairs(spark, sf, 1), starts, 3)
-
-
 #: The reference asks for words of its own library, which no text of these tables holds; these stand in: of a start, its file and an end.
 ROUTE = {"start": "mercy", "file": "Servant", "end": "vocation"}
 
 
-@query()
-def weighted_routes(spark, sf):
+def _route_sql() -> str:
+    """Front halves of up to three edges and back halves of up to two, and the trails that they make."""
+    parts = [
+        TYPED,
+        "w AS (SELECT src, dst, sum(weight)::BIGINT AS weight, src || chr(1) || dst AS e FROM typed WHERE src <> dst GROUP BY 1, 2)",
+        "s AS (SELECT src AS a, dst AS b, e, weight FROM w UNION ALL SELECT dst, src, e, weight FROM w)",
+        f"f0 AS (SELECT DISTINCT unique_id AS o, unique_id AS a, []::VARCHAR[] AS u, 0::BIGINT AS t FROM build_graph WHERE contains(text, '{ROUTE['start']}') AND contains(source_file, '{ROUTE['file']}'))",
+        f"b0 AS (SELECT DISTINCT unique_id AS o, unique_id AS a, []::VARCHAR[] AS u, 0::BIGINT AS t FROM build_graph WHERE contains(text, '{ROUTE['end']}'))",
+    ]
+    for side, most in (("f", 3), ("b", 2)):
+        parts += [f"{side}{k} AS (SELECT o, s.b AS a, list_append(u, s.e) AS u, t + s.weight AS t FROM {side}{k - 1} x JOIN s ON s.a = x.a WHERE NOT list_contains(u, s.e))" for k in range(1, most + 1)]
+    found = [f"SELECT f.o AS start, b.o AS finish, {k} AS n_hops, f.t + b.t AS weight FROM f{(k + 1) // 2} f JOIN b{k // 2} b ON f.a = b.a WHERE NOT list_has_any(f.u, b.u)" for k in range(1, 6)]
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(found)
+
+
+@query(_route_sql())
+def k_hop_paths(spark, sf):
     """All trails of 1 to 5 edges from nodes whose text and file name hold a word to nodes whose text holds another."""
     nodes = table(spark, sf, "build_graph").select(F.col("unique_id").alias("node"), "text", "source_file")
     starts = nodes.where(F.contains("text", F.lit(ROUTE["start"])) & F.contains("source_file", F.lit(ROUTE["file"]))).select("node").distinct()
     ends = nodes.where(F.contains("text", F.lit(ROUTE["end"]))).select("node").distinct()
-    return graph.trails_between(_weighted_pairs(spark, sf, 1), starts, ends, 5)
+    return graph.trails_between(_weighted_pairs(spark, sf), starts, ends, 5)
 
 
 @query("""SELECT min(doc_id) AS doc_id, count(*) AS n_copies, length(any_value(text)) AS n_chars FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1""")

@@ -208,11 +208,11 @@ def test_overlap_without_cap(spark, monkeypatch):
 
 
 def test_components_of_all_nodes(spark, tmp_path):
-    from folioforge.plans.reference_queries import whole_graph_components
+    from folioforge.plans.reference_queries import connected_component_labels
 
     spark.createDataFrame([("a",), ("b",), ("c",), ("lone",)], "unique_id string").write.parquet(f"{tmp_path}/build_graph.parquet")
     spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y"), ("lone", "lone")], "node1 string, node2 string").write.parquet(f"{tmp_path}/edges.parquet")
-    got = {r.node: r.component for r in whole_graph_components(spark, str(tmp_path)).collect()}
+    got = {r.node: r.component for r in connected_component_labels(spark, str(tmp_path)).collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "lone": "lone", "x": "x", "y": "x"}
 
 
@@ -253,5 +253,5 @@ def test_compose_all_attributes(spark, tmp_path):
     columns = ["id", "source_file", *rq.ATTRIBUTES]
     rows = [("x", "g1", *(f"{a}1" for a in rq.ATTRIBUTES)), ("x", "g2", *("" if a == "text" else f"{a}2" for a in rq.ATTRIBUTES))]
     spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).write.parquet(f"{tmp_path}/simple_gml_to_csv.parquet")
-    got = rq.graph_compose_all_attributes(spark, str(tmp_path)).first().asDict()
+    got = rq.graph_compose_last_wins(spark, str(tmp_path)).first().asDict()
     assert got == {"id": "x"} | {a: "text1" if a == "text" else f"{a}2" for a in rq.ATTRIBUTES}
