@@ -9,12 +9,16 @@ from folioforge.llm.tokenize import DEFAULT_VOCABULARY, encode
 from folioforge.session import cut_lineage
 
 LISTED = 100_000  # sources whose rates may be broadcast
+NAMED = 1_000  # sources that may stand in a filter
 
 
 def sized(docs: DataFrame, targets: DataFrame, *, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """(doc_id, source, n_tokens) of the documents whose source has a target. Null and empty texts have 0 tokens."""
     named = targets.where(F.col("source").isNotNull()).select("source").distinct()
-    chosen = docs.select("doc_id", "source", "text").join(_small(named), "source", "left_semi")
+    few = [r.source for r in named.limit(NAMED + 1).collect()]
+    rows = docs.select("doc_id", "source", "text")
+    # a plain filter, where it is short, spares the plan with the vocabulary a join and its re-planning
+    chosen = rows.where(F.col("source").isin(few)) if len(few) <= NAMED else rows.join(_small(named), "source", "left_semi")
     return cut_lineage(encode(chosen, vocabulary=vocabulary).select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens")))
 
 
@@ -42,16 +46,30 @@ def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return out.withColumn("rate", F.when(F.col("n_tokens") > 0, F.least(ideal, F.col("max_repeats").cast("double"))).otherwise(F.lit(0.0)))
 
 
+def _copies(rows: DataFrame, rated: DataFrame, seed: int) -> DataFrame:
+    """rows (doc_id, source, rest) that are used, with the number of their copies."""
+    share = F.pmod(F.xxhash64(F.lit(seed), "source", "doc_id"), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    whole = F.floor("rate")
+    joined = rows.join(_small(rated.select("source", "rate")), "source")
+    return joined.withColumn("copies", (whole + F.when(share < F.col("rate") - whole, 1).otherwise(0)).cast("int")).where(F.col("copies") > 0).drop("rate")
+
+
 def mix(sizes: DataFrame, rated: DataFrame, *, seed: int = 17) -> DataFrame:
     """(doc_id, source, n_tokens, copies) of the documents used at least once.
 
     copies = floor(rate) + 1 with probability rate - floor(rate), decided by a hash of seed, source and doc_id: the same
     on every run and on any number of executors. Never more than max_repeats.
     """
-    share = F.pmod(F.xxhash64(F.lit(seed), "source", "doc_id"), F.lit(1 << 53)).cast("double") / float(1 << 53)
-    whole = F.floor("rate")
-    joined = sizes.join(_small(rated.select("source", "rate")), "source")
-    return joined.withColumn("copies", (whole + F.when(share < F.col("rate") - whole, 1).otherwise(0)).cast("int")).where(F.col("copies") > 0).select("doc_id", "source", "n_tokens", "copies")
+    return _copies(sizes.select("doc_id", "source", "n_tokens"), rated, seed).select("doc_id", "source", "n_tokens", "copies")
+
+
+def emit(docs: DataFrame, rated: DataFrame, *, seed: int = 17) -> DataFrame:
+    """(doc_id, source, copy_no, text): the mixed corpus, every document as often as mix() says; a narrow map of docs.
+
+    Null and empty texts come out as they are. Repeated rows of docs are documents of their own.
+    """
+    used = _copies(docs.select("doc_id", "source", "text"), rated, seed)
+    return used.select("doc_id", "source", F.explode(F.sequence(F.lit(1), "copies")).alias("copy_no"), "text")
 
 
 def report(mixed: DataFrame, rated: DataFrame) -> DataFrame:

@@ -70,6 +70,11 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return mixture.report(mixture.mix(sizes, rated), rated)
 
 
+def p8_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    targets, docs = table(spark, sf, "mix_targets"), table(spark, sf, "documents")
+    return mixture.emit(docs, mixture.rates(mixture.sized(docs, targets), targets))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.truncated(table(spark, sf, "documents")).where("is_cut").select("doc_id").distinct()
 
@@ -80,7 +85,7 @@ def p9_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_pairs, p2_found, p2_clean, p5_found, p5_groups, p6_found, p6_pieces, p7_ids, p8_mix, p8_report, p9_found, p9_report)
+    for f in (p1_found, p1_pairs, p2_found, p2_clean, p5_found, p5_groups, p6_found, p6_pieces, p7_ids, p8_mix, p8_report, p8_corpus, p9_found, p9_report)
 }
 
 _BASKETS = r"""

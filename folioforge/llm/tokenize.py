@@ -27,6 +27,7 @@ WORD_PATTERN = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 
 RANK_BUCKETS = 16384
 WORD_BUCKETS = 8192
+STRETCH, WINDOW = 96, 48  # bytes of a long word that are folded at once, and those around a cut
 
 
 @lru_cache(maxsize=4)
@@ -65,10 +66,8 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def fold_word(word: Column, ranks: Column) -> Column:
-    """Ids of one word (null for null) by ranked merges over its bytes."""
-    rank = lambda x: _lookup(ranks, RANK_BUCKETS, x)
-    raw = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+def _fold(raw: Column, rank) -> Column:
+    """The tokens, as byte strings, of a byte string that is not empty, by ranked merges."""
     size = F.char_length(raw)
     parts = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(raw, i, F.lit(1)))
     none = F.array().cast("array<int>")
@@ -97,8 +96,49 @@ def fold_word(word: Column, ranks: Column) -> Column:
 
     start = _let(parts, lambda p: F.struct(p.alias("p"), pair_ranks(p).alias("r")))
     steps = F.when(size > 1, F.sequence(F.lit(2), size)).otherwise(none)
-    folded = F.aggregate(steps, start, step, lambda s: F.transform(s["p"], rank))
-    return F.when(size > 0, folded).when(size == 0, none)
+    return F.aggregate(steps, start, step, lambda s: s["p"])
+
+
+def _fold_long(raw: Column, rank) -> Column:
+    """The tokens of a byte string of more than STRETCH bytes, in stretches.
+
+    A cut is placed where the tokens of the WINDOW around it end. Tokens are those of the whole string if every two that
+    stand side by side stay apart when they are folded alone; inside a stretch they do, so only the two at each cut are
+    asked. A string of which a cut fails this is folded as a whole.
+    """
+    size = F.char_length(raw)
+    half = WINDOW // 2
+
+    def cut(k: Column) -> Column:
+        begin = k * STRETCH - half  # bytes before the window
+        tokens = _fold(F.substring(raw, begin + 1, F.lit(WINDOW)), rank)
+        reach = F.aggregate(tokens, F.lit(0), lambda n, t: F.when(n >= half, n).otherwise(n + F.char_length(t)))
+        return F.least(begin + reach, size)
+
+    cuts = F.array_distinct(F.concat(F.array(F.lit(0)), F.transform(F.sequence(F.lit(1), ((size - 1) / STRETCH).cast("int")), cut), F.array(size)))
+    stretches = _let(cuts, lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - 1), lambda k: F.substring(raw, c[k - 1] + 1, c[k] - c[k - 1])))
+
+    def joined(folded: Column) -> Column:
+        def apart(k: Column) -> Column:
+            left, right = F.element_at(folded[k - 1], -1), folded[k][0]
+            return _let(_fold(F.concat(left, right), rank), lambda t: (F.size(t) == 2) & (t[0] == left))
+
+        whole = F.when(F.size(folded) > 1, F.forall(F.sequence(F.lit(1), F.size(folded) - 1), apart)).otherwise(F.lit(True))
+        return F.when(whole, F.flatten(folded)).otherwise(_fold(raw, rank))
+
+    return _let(F.transform(stretches, lambda x: _fold(x, rank)), joined)
+
+
+def fold_word(word: Column, ranks: Column) -> Column:
+    """Ids of one word (null for null) by ranked merges over its bytes."""
+    rank = lambda x: _lookup(ranks, RANK_BUCKETS, x)
+
+    def ids(raw: Column) -> Column:
+        size = F.char_length(raw)
+        tokens = F.when(size > 2 * STRETCH, _fold_long(raw, rank)).when(size > 0, _fold(raw, rank)).when(size == 0, F.array().cast("array<string>"))
+        return F.transform(tokens, rank)
+
+    return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ids)
 
 
 def words_of(text: Column) -> Column:

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from folioforge.llm.mixture import mix, rates, report, sized
+from folioforge.llm.mixture import emit, mix, rates, report, sized
 from folioforge.llm.tokenize import DEFAULT_VOCABULARY
 
 SIZES = "doc_id bigint, source string, n_tokens bigint"
@@ -34,6 +34,16 @@ def test_mix(spark):
     assert out["c"].actual_share == out["none"].actual_share == 0 and sum(r.mixed_share for r in out.values()) == pytest.approx(1)
 
 
+def test_emit(spark):
+    sizes, targets = data(spark)
+    rated = rates(sizes, targets)
+    docs = sizes.selectExpr("doc_id", "source", "if(doc_id % 7 = 0, null, concat('t', doc_id)) as text", "1 as copies", "2 as rate")
+    want = {r.doc_id: r.copies for r in mix(sizes, rated).collect()}
+    rows = emit(docs, rated).collect()
+    assert len(rows) == sum(want.values()) and {(r.doc_id, r.copy_no) for r in rows} == {(d, k) for d, n in want.items() for k in range(1, n + 1)}
+    assert all(r.text == (None if r.doc_id % 7 == 0 else f"t{r.doc_id}") for r in rows) and emit(docs.limit(0), rated).count() == 0
+
+
 def test_cap_and_empty(spark):
     sizes, targets = data(spark)
     capped = spark.createDataFrame([("b", 0.9, 2), ("a", None, None)], TARGETS)

@@ -25,6 +25,22 @@ def encoder():
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def test_long_words(spark):
+    """Words of thousands of bytes are folded in stretches, with the ids of the whole."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "ab", "etaoins", "日本語漢字文書検索", "กขคงจฉชซ", "éèüößñ", "xyz" * 3 + "ing", "AaBb"]
+    texts = ["".join(rng.choice(k) for _ in range(n)) for k in kinds for n in (100, 193, 400, 2500)] + ["understanding" * 90, "z" * 1000, "0123456789" * 40, "-=" * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    enc = encoder()
+    assert all(list(r.ids) == enc.encode_ordinary(r.text) for r in encode(df, dictionary_words=1).collect())
+    one = spark.createDataFrame([(1, "".join(rng.choice(kinds[0]) for _ in range(20_000)))], "doc_id bigint, text string")
+    began = time.perf_counter()
+    assert len(encode(one, dictionary_words=1).first().ids) > 5000 and time.perf_counter() - began < 20  # minutes, if it were folded as one
+
+
 @pytest.mark.parametrize("words", [20_000, 1])
 def test_ids(spark, words):
     df = spark.createDataFrame([(k, t, "clash") for k, t in enumerate([*TEXTS, *TEXTS[:6]])], "doc_id bigint, text string, word string").repartition(3)
