@@ -195,7 +195,7 @@ def test_files_and_export(spark):
 
 
 def test_overlap_without_cap(spark, monkeypatch):
-    monkeypatch.setattr(shared_edges, "BLOCK", 7)
+    monkeypatch.setattr(shared_edges, "NODES", 7)  # nine blocks
     rng = random.Random(4)
     held = {f"n{k}": {"hub", *(f"i{rng.randrange(30)}" for _ in range(3))} for k in range(60)}
     items = spark.createDataFrame([(n, "entity" if i < "i2" else "keyword", i) for n, s in held.items() for i in s], "node string, edge_type string, item string")
