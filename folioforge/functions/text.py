@@ -43,6 +43,19 @@ def replace_words(text: Column, corrections: Mapping[str, str]) -> Column:
     return text
 
 
+#: Common English words that say nothing about a passage; callers may pass any other list.
+STOP_WORDS = tuple(
+    """a about above after again all also although always am among an and another any are as at be because been before being below
+    between both but by can cannot could did do does done down during each either else even ever every few for from further had has
+    have he her here hers herself him himself his how however i if in into is it its itself just least less many may me might mine more
+    most much must my myself neither never no nobody none nor not nothing now of off often on once one only or other others our ours
+    out over own perhaps rather same seldom several she should since so some such than that the their theirs them themselves then there
+    these they this those though through thus to too toward under until up upon us very was we well were what when where whether which
+    while who whom whose why will with within without would yet you your yours""".split()
+)
+
+
+#: The characters that stay, and the order of the steps, which decides the result.
 def plain_text(text: Column) -> Column:
     """White space to single spaces, characters other than letters, digits, `_` and `.,;:!?-'"` to spaces, trimmed."""
     squeezed = F.regexp_replace(text, r"(?U)\s+", " ")
@@ -57,9 +70,13 @@ def is_heading_line(line: Column, least: int = 10, share: float = 0.8) -> Column
     return (F.char_length(F.trim(line)) >= least) & (letters > 0) & (upper > letters * F.lit(share))
 
 
+#: Fixed value: the pattern of a verse reference; (?U) makes classes and word boundaries those of Unicode.
+VERSE = r"(?U)\b(?:\d\s)?[A-Z][a-z]+(?:\s[A-Z][a-z]+)?\s\d+:\d+(?:-\d+)?(?:,\s?\d+)*\b"
+
+
 def verse_references(text: Column) -> Column:
     """References such as `Name 3:16` or `1 Name 13:4-7, 9`; a capitalised word just before the name is part of it."""
-    return F.regexp_extract_all(text, F.lit(r"(?:[1-3] )?[A-Z][a-z]+(?: [A-Z][a-z]+)? [0-9]+:[0-9]+(?:-[0-9]+)?(?:, [0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(VERSE), F.lit(0))
 
 
 def contained_terms(text: Column, terms: Sequence[str]) -> Column:

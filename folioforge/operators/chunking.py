@@ -4,50 +4,56 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import is_heading_line, sentences
+from folioforge.functions.text import STOP_WORDS, contained_terms, is_heading_line, sentences, tidy_layout, verse_references, whole_terms, word_count
 
 
-def window_spans(length: int, stops: Sequence[int], size: int, overlap: int) -> list[tuple[int, int]]:
-    """[start, end) of windows of at most size characters over a text, each ending after the last stop inside it if there
-    is one; the next starts overlap characters before the end, but always further on. stops: ascending end positions."""
-    from bisect import bisect_right
+def window_spans(length: int, stops: Sequence[int], size: int, overlap: int, tail: bool = False, kept: int = 1) -> list[tuple[int, int]]:
+    """[start, end) of windows of at most size characters over a text, each ending at the last stop inside it, but for
+    its first character, if there is one; the next starts overlap characters before the end, but always further on. stops:
+    ascending positions of the stops, of which the first `kept` characters belong to the window.
+    tail: where the last window has fewer than overlap characters to spare, what it would share with a next one follows
+    as a window of its own."""
+    from bisect import bisect_left
 
     out, start = [], 0
     while start < length:
         end = min(start + size, length)
         if end < length:
-            k = bisect_right(stops, end)
+            k = bisect_left(stops, end)
             if k and stops[k - 1] > start:
-                end = stops[k - 1]
+                end = stops[k - 1] + kept
         out.append((start, end))
-        if end >= length:
+        if end < length:
+            start = max(end - overlap, start + 1)
+        elif tail and size > overlap:
+            start += size - overlap
+        else:
             break
-        start = max(end - overlap, start + 1)
     return out
 
 
 _SENTENCE_STOP, _SPACE_STOP = re.compile(r"[.!?]"), re.compile(r" ")
 
 
-def fixed_windows(docs: DataFrame, *, key: str, text: str, size: int = 1500, overlap: int = 200, at: str = "sentence") -> DataFrame:
-    """(key, chunk_no, start, text): windows that end after the last sentence mark (at="sentence") or space (at="space").
+def fixed_windows(docs: DataFrame, *, key: str, text: str, size: int = 1500, overlap: int = 200, at: str = "sentence", tail: bool = False) -> DataFrame:
+    """(key, chunk_no, start, text): windows that end after the last sentence mark (at="sentence") or before the last space (at="space").
 
-    start counts from 0. A text no longer than size is one window; null and blank texts have none; blank windows are dropped.
+    start counts from 0; tail as for window_spans. A text no longer than size is one window; null and blank texts have none; blank windows are dropped.
     """
-    stop = _SENTENCE_STOP if at == "sentence" else _SPACE_STOP
+    stop, kept = (_SENTENCE_STOP, 1) if at == "sentence" else (_SPACE_STOP, 0)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for k, t in zip(frame["k"], frame["t"]):
-                spans = window_spans(len(t), [m.end() for m in stop.finditer(t)], size, overlap)
+                spans = window_spans(len(t), [m.start() for m in stop.finditer(t)], size, overlap, tail, kept)
                 rows += [(k, n, a, t[a:b].strip()) for n, (a, b) in enumerate(((a, b) for a, b in spans if t[a:b].strip()), 1)]
             yield pd.DataFrame(rows, columns=[key, "chunk_no", "start", "text"])
 
@@ -63,44 +69,43 @@ def sentence_rows(docs: DataFrame, *, keys: Sequence[str], text: str) -> DataFra
 
 
 def _pieces_before_headings(text: Column) -> Column:
-    """The text cut before every heading line."""
-    lines = F.split(text, "\n")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now"))
+    """The text cut before every heading line but the first line: each line is looked at once, each piece joined once."""
 
-    def add(state: Column, line: Column) -> Column:
-        cut = is_heading_line(line) & state["now"].isNotNull()
-        return F.struct(
-            F.when(cut, F.array_append(state["done"], state["now"])).otherwise(state["done"]).alias("done"),
-            F.when(cut | state["now"].isNull(), line).otherwise(F.concat_ws("\n", state["now"], line)).alias("now"),
-        )
+    def cut(lines: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: (i == 1) | is_heading_line(lines[i - 1]))
+        piece = lambda at: F.transform(at, lambda x, k: F.array_join(F.slice(lines, x, F.coalesce(F.get(at, k + 1), F.size(lines) + 1) - x), "\n"))
+        return F.transform(F.array(starts), piece)[0]
 
-    return F.aggregate(lines, start, add, lambda s: F.array_append(s["done"], s["now"]))
+    return F.transform(F.array(F.split(text, "\n")), cut)[0]
 
 
 def recursive_split(text: str, size: int, overlap: int, separators: Sequence[str]) -> list[str]:
-    """Pieces of at most size characters, cut at the first separator that occurs, the rest by the next ones; pieces are
-    filled up to size and start with up to overlap characters of the one before, in whole parts."""
+    """Pieces of at most size characters, cut before the first separator that occurs (the empty one is between any two
+    characters), the longer ones by the separators behind it; pieces are filled up to size and start with up to overlap
+    characters of the one before, in whole parts. A part without a separator left stays, whatever its length."""
     if len(text) <= size:
-        return [text] if text.strip() else []
-    sep = next((s for s in separators if s and s in text), "")
-    rest = separators[list(separators).index(sep) + 1 :] if sep else ()
-    parts = [p + sep for p in text.split(sep)] if sep else list(text)
-    if sep:
-        parts[-1] = parts[-1][: len(parts[-1]) - len(sep)]
+        return [text.strip()] if text.strip() else []
+    at = next((k for k, s in enumerate(separators) if not s or s in text), None)
+    if at is None:
+        return [text.strip()]
+    sep, rest = separators[at], separators[at + 1 :]
+    first, *others = text.split(sep) if sep else text
+    parts = [p for p in (first, *(sep + x for x in others)) if p]
     out: list[str] = []
-    held: list[str] = []
+    held: deque[str] = deque()
     n = 0
     for part in parts:
-        if len(part) > size:
+        if len(part) >= size and rest:
             if held:
                 out.append("".join(held))
-                held, n = [], 0
+                held.clear()
+                n = 0
             out += recursive_split(part, size, overlap, rest)
             continue
-        if n + len(part) > size:
+        if held and n + len(part) > size:
             out.append("".join(held))
             while held and (n > overlap or n + len(part) > size):
-                n -= len(held.pop(0))
+                n -= len(held.popleft())
         held.append(part)
         n += len(part)
     if held:
@@ -120,6 +125,10 @@ def split_recursively(docs: DataFrame, *, key: str, text: str, size: int = 1000,
     return docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"`{key}` {kind}, chunk_no int, text string")
 
 
+#: Where parents over their size are cut, strongest first.
+PARENT_SEPARATORS = ("\n\n\n", "\n\n", "\n", " ", "")
+
+
 def parent_chunks(docs: DataFrame, *, key: str, text: str, size: int = 30_000, overlap: int = 200, least: int = 3) -> DataFrame:
     """(key, parent_no, text): a document is cut before heading lines; where that gives fewer than `least` parts, at
     blank lines of three or more line breaks; then every part over size is cut recursively. Blank parts are dropped."""
@@ -129,7 +138,7 @@ def parent_chunks(docs: DataFrame, *, key: str, text: str, size: int = 30_000, o
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = [(k, p, n, x) for k, p, t in zip(frame["k"], frame["p"], frame["t"]) for n, x in enumerate(recursive_split(t, size, overlap, ("\n\n", "\n", ". ", " ", "")))]
+            out = [(k, p, n, x) for k, p, t in zip(frame["k"], frame["p"], frame["t"]) for n, x in enumerate(recursive_split(t, size, overlap, PARENT_SEPARATORS))]
             yield pd.DataFrame(out, columns=[key, "p", "n", "text"])
 
     from pyspark.sql import Window
@@ -193,3 +202,19 @@ def hybrid_chunks(sents: DataFrame, *, group: Sequence[str], terms: Sequence[str
 
     kinds = ", ".join(f"`{g}` {sents.schema[g].dataType.simpleString()}" for g in group)
     return sents.groupBy(*group).applyInPandas(fold, f"{kinds}, child_no int, text string, n_sentences int, items array<string>")
+
+
+def chunk_documents(docs: DataFrame, *, key: str, text: str, keywords: Sequence[str], figures: Sequence[str], size: int = 30_000, most_words: int = 1000, least_chars: int = 100) -> DataFrame:
+    """(key, parent_id, child_id, unique_id, text, n_words, keywords, figures, verses): parents, sentences and children of
+    every document of at least least_chars characters after cleaning, with the marks of each child.
+
+    unique_id is `file<key>_<parent_id>_<child_id>`. Null, blank and short texts have no chunks.
+    """
+    clean = docs.select(F.col(key), tidy_layout(F.col(text)).alias("t")).where(F.char_length("t") >= least_chars)
+    parents = parent_chunks(clean, key=key, text="t", size=size)
+    children = hybrid_chunks(sentence_rows(parents, keys=[key, "parent_no"], text="text"), group=[key, "parent_no"], terms=keywords, most_words=most_words, stop=STOP_WORDS)
+    parent, child = F.concat(F.lit("parent_"), "parent_no"), F.concat(F.lit("child_"), "child_no")
+    return children.select(
+        key, parent.alias("parent_id"), child.alias("child_id"), F.concat(F.lit("file"), F.col(key).cast("string"), F.lit("_"), parent, F.lit("_"), child).alias("unique_id"), "text",
+        word_count(F.col("text")).alias("n_words"), contained_terms(F.col("text"), keywords).alias("keywords"), whole_terms(F.col("text"), figures).alias("figures"), verse_references(F.col("text")).alias("verses"),
+    )

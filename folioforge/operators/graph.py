@@ -37,26 +37,31 @@ def compose(rows: DataFrame, key: str, order: str, attributes: Sequence[str]) ->
     return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*last)
 
 
+MOST_GRAPHS = 2_000
+
+
 def merge_with_prefix(graphs: DataFrame, graph: str, node: str) -> DataFrame:
     """(graph, node, merged_id): graphs are merged in ascending order of name; one that holds an id already taken gets its
     name as a prefix on all of its ids.
 
-    The number of graphs is small; the loop over them keeps one table of taken ids and reads no ids on the driver.
+    A graph depends on those before it only by which of them it shares ids with: one pass finds these pairs of graphs, and
+    the order is followed on them. At most MOST_GRAPHS graphs may share ids. Rows with a null graph or id are dropped,
+    repeated ones count once.
     """
     pairs = cut_lineage(graphs.where(F.col(node).isNotNull() & F.col(graph).isNotNull()).select(graph, node).distinct())
-    # a graph can only clash over ids that another graph holds too
-    shared = cut_lineage(pairs.join(pairs.groupBy(node).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(node), node, "left_semi"))
-    names = [r[0] for r in shared.select(graph).distinct().orderBy(graph).limit(10_001).collect()]
-    if len(names) > 10_000:
-        raise ValueError("more than 10,000 graphs with shared ids")
-    clash: list[str] = []
-    for k, name in enumerate(names):
-        earlier = [n for n in names[:k] if n not in clash]
-        if earlier:
-            own = shared.where(F.col(graph) == name).select(node)
-            taken = shared.where(F.col(graph).isin(*earlier)).select(node)
-            if not own.join(taken, node, "left_semi").isEmpty():
-                clash.append(name)
+    # the graphs of an id as one set; few sets differ, and only they are paired
+    sets = pairs.groupBy(node).agg(F.array_sort(F.collect_set(graph)).alias("held")).where(F.size("held") > 1).select("held").distinct()
+    later = sets.select("held", F.posexplode("held").alias("k", "later")).select("later", F.explode(F.slice("held", F.lit(1), F.col("k"))).alias("earlier")).distinct()
+    met = cut_lineage(later)
+    if met.select("later").distinct().limit(MOST_GRAPHS + 1).count() > MOST_GRAPHS:
+        raise ValueError(f"more than {MOST_GRAPHS} graphs with shared ids")
+    earlier: dict[str, list[str]] = {}
+    for r in met.collect():  # at most MOST_GRAPHS squared, halved
+        earlier.setdefault(r.later, []).append(r.earlier)
+    clash: set[str] = set()
+    for name in sorted(earlier, key=lambda x: x.encode()):
+        if any(e not in clash for e in earlier[name]):
+            clash.add(name)
     hit = F.col(graph).isin(*clash) if clash else F.lit(False)
     return pairs.withColumn("merged_id", F.when(hit, F.concat(F.col(graph), F.lit("_"), F.col(node))).otherwise(F.col(node)))
 

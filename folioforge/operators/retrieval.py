@@ -145,6 +145,15 @@ def citation(title: Column, author: Column, source_file: Column) -> Column:
     return F.when(named != "", named).otherwise(F.coalesce(F.regexp_extract(source_file, r"([^/\\]+)$", 1), F.lit("Unknown")))
 
 
+def full_citation(number: Column, date: Column, title: Column, page: Column, source: Column) -> Column:
+    """`Sermon #<number>, <date>, "<title>", p. <page>`, what there is of it; without anything the file's base name, or
+    Unknown Source. Empty values and the title `Unknown Title` count as none."""
+    there = lambda c, before="", after="": F.when((c.cast("string") != "") & (c.cast("string") != "Unknown Title"), F.concat(F.lit(before), c.cast("string"), F.lit(after)))
+    named = F.concat_ws(", ", there(number, "Sermon #"), there(date), there(title, '"', '"'), there(page, "p. "))
+    file = F.regexp_extract(source, r"([^/]*)$", 1)
+    return F.when(named != "", named).when(file != "", file).otherwise(F.lit("Unknown Source"))
+
+
 def context(ranked: DataFrame) -> DataFrame:
     """One row: `context` of ranked rows (rank, citation, text), in order, and the `guide` of their citations.
 

@@ -193,6 +193,19 @@ def running_gate(mentions: DataFrame, least: int = 2) -> DataFrame:
     return mentions.withColumn("nth", F.row_number().over(w)).where(F.col("nth") >= least)
 
 
+def entity_graph_edges(chunks: DataFrame, mentions: DataFrame, least: int = 2) -> DataFrame:
+    """(source, target, relation, weight) of the entity graph: has_child from parent to chunk, mentions from chunk to every
+    item past the gate, co_occurs_with between items with the number of chunks that hold both past it.
+
+    chunks: node, parent; mentions: source_file, seq, item, node. Rows with a null node or parent have no has_child edge.
+    """
+    one = F.lit(1).cast("bigint").alias("weight")
+    child = chunks.where("node is not null and parent is not null").select(F.col("parent").alias("source"), F.col("node").alias("target")).distinct().select("source", "target", F.lit("has_child").alias("relation"), one)
+    held = running_gate(mentions, least).select(F.col("node").alias("source"), F.col("item").alias("target")).where("source is not null").distinct().select("source", "target", F.lit("mentions").alias("relation"), one)
+    met = gated_cooccurrence(mentions, least).select(F.col("item_a").alias("source"), F.col("item_b").alias("target"), F.lit("co_occurs_with").alias("relation"), "weight")
+    return child.unionByName(held).unionByName(met)
+
+
 def gated_cooccurrence(mentions: DataFrame, least: int = 2) -> DataFrame:
     """(item_a, item_b, weight): chunks in which both items are past the gate of running_gate, item_a < item_b."""
     gated = running_gate(mentions, least).select("source_file", "seq", "item")

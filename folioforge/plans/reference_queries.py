@@ -157,6 +157,16 @@ def cooccurrence_weights(spark, sf):
     return shared_edges.gated_cooccurrence(_mentions(spark, sf))
 
 
+@query(f"""WITH {MENTIONS}, ch AS (SELECT DISTINCT parent_id, unique_id FROM chunks WHERE parent_id IS NOT NULL AND unique_id IS NOT NULL)
+SELECT parent_id AS source, unique_id AS target, 'has_child' AS relation, 1::BIGINT AS weight FROM ch UNION ALL
+SELECT DISTINCT c.unique_id, g.item, 'mentions', 1 FROM g JOIN chunks c ON c.node_id = g.seq WHERE c.unique_id IS NOT NULL UNION ALL
+SELECT a.item, b.item, 'co_occurs_with', count(*) FROM g a JOIN g b ON a.source_file = b.source_file AND a.seq = b.seq AND a.item < b.item GROUP BY 1, 2""")
+def entity_graph_edges(spark, sf):
+    nodes = chunks(spark, sf)
+    mentions = _mentions(spark, sf).join(nodes.select(F.col("node_id").alias("seq"), F.col("unique_id").alias("node")), "seq")
+    return shared_edges.entity_graph_edges(nodes.select(F.col("unique_id").alias("node"), F.col("parent_id").alias("parent")), mentions)
+
+
 # ---- graph statistics, lookup, merging
 
 
@@ -262,7 +272,13 @@ def graph_compose_last_wins(spark, sf):
     return every.join(graph.compose(rows.where("source_file is not null"), "id", "source_file", ATTRIBUTES), "id", "left")
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT DISTINCT source_file AS f, label AS l FROM simple_gml_to_csv WHERE source_file IS NOT NULL AND label IS NOT NULL),
+g AS (SELECT f, row_number() OVER (ORDER BY f) AS k FROM (SELECT DISTINCT f FROM p)),
+c AS (SELECT b.f, list(DISTINCT a.f) AS earlier FROM p a JOIN p b ON a.l = b.l AND a.f < b.f GROUP BY 1),
+run AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS clean UNION ALL
+  SELECT g.k, CASE WHEN list_has_any(coalesce(c.earlier, []), run.clean) THEN run.clean ELSE list_append(run.clean, g.f) END FROM run JOIN g ON g.k = run.k + 1 LEFT JOIN c ON c.f = g.f),
+z AS (SELECT clean FROM run ORDER BY k DESC LIMIT 1)
+SELECT f AS source_file, l AS label, CASE WHEN list_contains(clean, f) THEN l ELSE f || '_' || l END AS merged_id FROM p, z""")
 def prefix_on_conflict_merge(spark, sf):
     return graph.merge_with_prefix(table(spark, sf, "simple_gml_to_csv").select("source_file", "label"), "source_file", "label")
 
@@ -398,7 +414,7 @@ def figure_tags(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(tx.whole_terms(F.col("text"), _lexicon(spark, sf, "figure")), "|").alias("figures"))
 
 
-@query("""SELECT node_id, array_to_string(regexp_extract_all(array_to_string(list_filter(verses, lambda x: x IS NOT NULL), ' ; '), '(?:[1-3] )?[A-Z][a-z]+(?: [A-Z][a-z]+)? [0-9]+:[0-9]+(?:-[0-9]+)?(?:, [0-9]+)*'), '|') AS refs
+@query("""SELECT node_id, array_to_string(regexp_extract_all(array_to_string(list_filter(verses, lambda x: x IS NOT NULL), ' ; '), '\\b(?:\\d\\s)?[A-Z][a-z]+(?:\\s[A-Z][a-z]+)?\\s\\d+:\\d+(?:-\\d+)?(?:,\\s?\\d+)*\\b'), '|') AS refs
 FROM (SELECT DISTINCT node_id, verses FROM build_graph) WHERE verses IS NOT NULL""")
 def verse_refs(spark, sf):
     rows = table(spark, sf, "build_graph").select("node_id", "verses").where("verses is not null").distinct()
@@ -493,9 +509,25 @@ def processed_anti_join(spark, sf):
 # ---- chunking
 
 
-@query()
+def _windows_sql(size: int, overlap: int, stops: str, kept: int) -> str:
+    span = f"text[a + 1 : a + {size}]"
+    stop = f"length({span}) - length(regexp_extract({span}, '[^{stops}]*$'))"
+    end = f"CASE WHEN a + {size} >= length(text) THEN length(text) WHEN {stop} > 1 THEN a + {stop} - {1 - kept} ELSE a + {size} END"
+    blank = r"[\t\n\v\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+    return f"""WITH RECURSIVE s AS (SELECT doc_id, text, 0 AS a, 0 AS k FROM documents WHERE text <> ''), w AS (SELECT *, {end} AS b FROM s UNION ALL SELECT doc_id, text, a, k, {end} AS b FROM (
+  SELECT doc_id, text, k + 1 AS k, CASE WHEN b < length(text) THEN greatest(b - {overlap}, a + 1) ELSE a + {size - overlap} END AS a FROM w) WHERE a < length(text)),
+t AS (SELECT doc_id, a AS start, k, regexp_replace(text[a + 1 : b], '^{blank}|{blank}$', '', 'g') AS text FROM w)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY k))::INT AS chunk_no, start, text FROM t WHERE text <> ''"""
+
+
+@query(_windows_sql(1500, 200, ".!?", 1))
 def fixed_window_chunks(spark, sf):
-    return chunking.fixed_windows(table(spark, sf, "documents"), key="doc_id", text="text", size=1500, overlap=200)
+    return chunking.fixed_windows(table(spark, sf, "documents"), key="doc_id", text="text", size=1500, overlap=200, tail=True)
+
+
+@query(_windows_sql(400, 50, " ", 0))
+def word_window_chunks(spark, sf):
+    return chunking.fixed_windows(table(spark, sf, "documents"), key="doc_id", text="text", size=400, overlap=50, at="space", tail=True)
 
 
 @query()
@@ -512,10 +544,17 @@ def parent_chunks(spark, sf):
 def hybrid_chunks(spark, sf):
     parents = chunking.parent_chunks(table(spark, sf, "documents"), key="doc_id", text="text")
     sents = chunking.sentence_rows(parents, keys=["doc_id", "parent_no"], text="text")
-    out = chunking.hybrid_chunks(sents, group=["doc_id", "parent_no"], terms=_lexicon(spark, sf, "keyword"), most_words=200)
+    out = chunking.hybrid_chunks(sents, group=["doc_id", "parent_no"], terms=_lexicon(spark, sf, "keyword"), most_words=200, stop=tx.STOP_WORDS)
     return out.withColumn("items", F.array_join("items", "|"))
 
 
+@query()
+def document_chunks(spark, sf):
+    """The whole way from a document to its marked chunks."""
+    out = chunking.chunk_documents(table(spark, sf, "documents"), key="doc_id", text="text", keywords=_lexicon(spark, sf, "keyword"), figures=_lexicon(spark, sf, "figure"))
+    return out.withColumns({c: F.array_join(c, "|") for c in ("keywords", "figures", "verses")})
+
+
 # ---- vectors and retrieval
 
 
@@ -618,6 +657,14 @@ def citation_context(spark, sf):
     return retrieval.context(top.select(rank.alias("rank"), retrieval.citation(F.col("title"), F.col("author"), F.col("source_file")).alias("citation"), "text"))
 
 
+@query("""SELECT d.doc_id, coalesce(nullif(concat_ws(', ', 'Sermon #' || d.doc_id, strftime(d.fetched_at, '%Y'), '"' || nullif(c.title, '') || '"'), ''), 'Unknown Source') AS citation FROM documents d LEFT JOIN source_catalog c USING (source_file)""")
+def full_citations(spark, sf):
+    """The citation of every document by its number, year and title."""
+    docs = table(spark, sf, "documents").join(table(spark, sf, "source_catalog").select("source_file", "title"), "source_file", "left")
+    cited = retrieval.full_citation(F.col("doc_id"), F.date_format("fetched_at", "yyyy"), F.col("title"), F.lit(None).cast("string"), F.col("source_file"))
+    return docs.select("doc_id", cited.alias("citation"))
+
+
 # ---- usage-like records and event time
 
 

@@ -118,12 +118,15 @@ def test_windows():
     assert chunking.window_spans(3000, [], 1500, 200) == [(0, 1500), (1300, 2800), (2600, 3000)]
     spans = chunking.window_spans(4000, [50], 1500, 200)
     assert all(a < b for (a, _), (b, _) in zip(spans, spans[1:])) and spans[-1][1] == 4000
+    tail = lambda n: chunking.window_spans(n, [], 1500, 200, tail=True)
+    assert tail(1400) == [(0, 1400), (1300, 1400)] and tail(1250) == [(0, 1250)] and tail(3000) == [(0, 1500), (1300, 2800), (2600, 3000)]
+    assert chunking.window_spans(30, [9, 19], 20, 5) == [(0, 20), (15, 30)] and chunking.window_spans(30, [9, 19], 20, 5, kept=0) == [(0, 19), (14, 30)]
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.integers(0, 400), st.lists(st.integers(1, 400), max_size=30), st.integers(1, 90), st.integers(0, 100))
+@given(st.integers(0, 400), st.lists(st.integers(0, 400), max_size=30), st.integers(1, 90), st.integers(0, 100))
 def test_windows_cover(length, stops, size, overlap):
-    spans = chunking.window_spans(length, sorted(x for x in set(stops) if x <= length), size, overlap)
+    spans = chunking.window_spans(length, sorted(x for x in set(stops) if x < length), size, overlap)
     assert all(b - a <= size for a, b in spans)
     assert all(a2 <= b1 and a1 < a2 for (a1, b1), (a2, _) in zip(spans, spans[1:]))
     assert not length or (spans[0][0], spans[-1][1]) == (0, length)
@@ -194,6 +197,51 @@ def test_files_and_export(spark):
     assert tuple(export.quality_counts(edges).first()) == (3, 0, 1, 1, 1, 1)
 
 
+def test_pieces_keep_their_separator_in_front():
+    split = lambda t, n, o: chunking.recursive_split(t, n, o, chunking.PARENT_SEPARATORS)
+    assert split("one two\n\nthree four\n\nfive", 14, 0) == ["one two", "three four", "five"]
+    assert split("aaaa bbbb cccc dddd", 10, 5) == ["aaaa bbbb", "bbbb cccc", "cccc dddd"] and split("x" * 25, 10, 0) == ["x" * 10, "x" * 10, "x" * 5]
+    assert split("  ", 10, 0) == [] and split(" a ", 10, 0) == ["a"]
+
+
+def test_documents_to_marked_chunks(spark):
+    long = "INTRODUCTION TO GRACE\n" + "Grace is free. Owen wrote of grace in John 3:16,18 at length. " * 4 + "\nOF THE SECOND PART\n" + "Faith works here. " * 8 + "\nOF THE THIRD PART\nAn end of it all is here, and no more of it."
+    docs = spark.createDataFrame([(1, long), (2, None), (3, "short"), (4, "")], "doc_id bigint, text string")
+    rows = chunking.chunk_documents(docs, key="doc_id", text="text", keywords=["grace", "faith"], figures=["Owen", "Knox"]).collect()
+    assert {r.doc_id for r in rows} == {1} and {r.parent_id for r in rows} == {"parent_1", "parent_2", "parent_3"} and len({r.unique_id for r in rows}) == len(rows)
+    first = [r for r in rows if r.parent_id == "parent_1"]
+    assert {k for r in first for k in r.keywords} == {"grace"} and {f for r in first for f in r.figures} == {"Owen"} and {v for r in first for v in r.verses} == {"John 3:16,18"}
+    assert chunking.chunk_documents(docs.limit(0), key="doc_id", text="text", keywords=["a"], figures=["b"]).count() == 0
+
+
+def test_entity_graph(spark):
+    mentions = spark.createDataFrame([("f", x, k, f"c{k}") for k, held in enumerate(["XY", "X", "XY", "XY"], 1) for x in held] + [("f", "X", 9, None)], "source_file string, item string, seq bigint, node string")
+    nodes = spark.createDataFrame([("c1", "p"), ("c1", "p"), ("c2", None), (None, "p")], "node string, parent string")
+    got = {tuple(r) for r in shared_edges.entity_graph_edges(nodes, mentions).collect()}
+    said = {(f"c{k}", x) for k, x in [(2, "X"), (3, "X"), (4, "X"), (3, "Y"), (4, "Y")]}
+    assert got == {("p", "c1", "has_child", 1), ("X", "Y", "co_occurs_with", 2)} | {(c, x, "mentions", 1) for c, x in said}
+
+
+def test_full_citation(spark):
+    rows = [("985", "1865", "T", "214", "a/b.pdf"), ("", None, "Unknown Title", None, "a/b.pdf"), (None, None, None, "", None), (None, "1865", None, None, "x"), ("7", "", "T", None, "x")]
+    df = spark.createDataFrame(rows, "n string, d string, t string, p string, s string")
+    got = [r[0] for r in df.select(retrieval.full_citation(*(F.col(c) for c in "ndtps"))).collect()]
+    assert got == ['Sermon #985, 1865, "T", p. 214', "b.pdf", "Unknown Source", "1865", 'Sermon #7, "T"']
+
+
+def test_prefix_follows_the_order(spark):
+    held = {"a": "12", "b": "23", "c": "34", "d": "5", "e": "56"}
+    df = spark.createDataFrame([(g, x) for g, s in held.items() for x in s] + [("a", "1"), (None, "1"), ("a", None)], "g string, x string")
+    got = {(r.g, r.x): r.merged_id for r in graph.merge_with_prefix(df, "g", "x").collect()}
+    # b shares 2 with a, so its ids get its name and c is free to keep 3; e shares 5 with d
+    assert got == {(g, x): (f"{g}_{x}" if g in "be" else x) for g, s in held.items() for x in s} and graph.merge_with_prefix(df.limit(0), "g", "x").count() == 0
+
+
+def test_verses(spark):
+    for text, want in {"xJohn 3:16": [], "John 13:4,7 and on": ["John 13:4,7"], "9 Kings 1:2": ["9 Kings 1:2"], "": []}.items():
+        assert one(spark, text, tx.verse_references) == want
+
+
 def test_overlap_without_cap(spark, monkeypatch):
     monkeypatch.setattr(shared_edges, "NODES", 7)  # nine blocks
     rng = random.Random(4)
