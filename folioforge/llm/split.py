@@ -35,7 +35,9 @@ def format_of(source_file: Column) -> Column:
 
 
 def split_oversized(records: DataFrame, limits: DataFrame, *, key: str = "node_id", text: str = "text", other: str = "other") -> DataFrame:
-    """(key, parent_id, child_id, piece_no, text) of the pieces of every record whose text is over its format's limit.
+    """(key, parent_id, child_id, piece_no, text, overlap_chars) of the pieces of every record whose text is over its format's limit.
+
+    overlap_chars: characters at the start that the piece before ends with; without them the pieces join up to the text.
 
     records: key, parent_id, child_id, source_file and text; more columns are ignored. limits: file_format, max_chars,
     overlap_chars, one row for each format and one named by `other` for the rest; a null overlap counts as 0, one of more
@@ -60,8 +62,9 @@ def split_oversized(records: DataFrame, limits: DataFrame, *, key: str = "node_i
         # a window that starts inside a word gives way to the next word start, if it has one
         torn = F.substring(F.col("parts")[k - 1], F.char_length(F.col("parts")[k - 1]) - F.col("overlap"), F.lit(1)).rlike(r"(?U)\S") & before.rlike(r"(?U)^\S+\s+\S")
         back = F.when(torn, F.regexp_replace(before, r"(?U)^\S+\s+", "")).otherwise(before)
-        return F.when((k == 0) | (F.col("overlap") == 0), part).otherwise(F.concat(back, part))
+        shared = F.when((k == 0) | (F.col("overlap") == 0), F.lit("")).otherwise(back)
+        return F.struct(F.concat(shared, part).alias("text"), F.char_length(shared).alias("overlap_chars"))
 
     pieces = parts.select(key, "parent_id", "child_id", F.posexplode(F.transform("parts", with_overlap)).alias("at", "piece"))
     number = (F.col("at") + 1).cast("int")
-    return pieces.select(key, "parent_id", F.concat_ws("_", F.coalesce("child_id", F.lit("child")), number.cast("string")).alias("child_id"), number.alias("piece_no"), F.col("piece").alias("text"))
+    return pieces.select(key, "parent_id", F.concat_ws("_", F.coalesce("child_id", F.lit("child")), number.cast("string")).alias("child_id"), number.alias("piece_no"), "piece.text", "piece.overlap_chars")
