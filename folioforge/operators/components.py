@@ -14,11 +14,30 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     Alternates two local steps until nothing changes: each node links its larger neighbours to its least neighbour, then
     each node links its smaller neighbours to the least one. Rounds grow with the logarithm of the longest path. Neighbour
     lists are never collected: the least neighbour comes from a hash aggregation and meets the edges in a join. Every
-    round is written to the shared checkpoint folder. Edges with a null end and loops carry no link; a node that has
-    only loops is a component of its own.
+    round is written to the shared checkpoint folder. Nodes other than whole numbers go by a hash of 8 bytes meanwhile; if
+    two of them share one, by themselves. Edges with a null end and loops carry no link; a node that has only loops is a
+    component of its own. Repeated and reversed edges count once.
     """
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull())
-    nodes = both.select("u").union(both.select("v")).distinct()
+    nodes = both.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    if both.schema["u"].dataType.simpleString() in ("bigint", "int"):
+        return _named(nodes, _settled(both, max_rounds), "node")
+    held = cut_lineage(nodes.withColumn("id", F.xxhash64("node")))
+    size = held.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids")).first()
+    if size.n != size.ids:
+        return _named(held, _settled(both, max_rounds), "node")
+    return _named(held, _settled(both.select(F.xxhash64("u").alias("u"), F.xxhash64("v").alias("v")), max_rounds), "id")
+
+
+def _named(nodes: DataFrame, settled: DataFrame, key: str) -> DataFrame:
+    """(node, component) of nodes (node, key) from the roots of their keys: the least node of those with one root."""
+    rooted = nodes.join(settled.withColumnRenamed("u", key), key, "left").select("node", F.coalesce("root", key).alias("root"))
+    least = rooted.groupBy("root").agg(F.min("node").alias("component"))
+    return rooted.join(least, "root").select("node", "component")
+
+
+def _settled(both: DataFrame, max_rounds: int) -> DataFrame:
+    """(u, root) of every node that isn't a root, for edges (u, v)."""
     now = cut_lineage(both.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
     def check(e: DataFrame) -> tuple:
@@ -27,7 +46,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     before = check(now)
     for _ in range(max_rounds):
-        sym = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        sym = now.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = sym.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
@@ -36,8 +55,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         now = cut_lineage(small.where("u <> v").distinct())
         after = check(now)
         if after == before:
-            break
+            return now.withColumnRenamed("v", "root")
         before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return nodes.join(now.withColumnRenamed("v", "root"), "u", "left").select(F.col("u").alias("node"), F.coalesce("root", "u").alias("component"))
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

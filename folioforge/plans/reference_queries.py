@@ -295,7 +295,7 @@ SELECT node, component FROM reach""")
 def connected_component_labels(spark, sf):
     """The component of every node, over all pairs of any weight; a node without an edge is one of its own."""
     nodes = table(spark, sf, "build_graph").where("unique_id is not null").select(F.col("unique_id").alias("node")).distinct()
-    return nodes.join(connected_components(pairs(spark, sf)), "node", "full").select("node", F.coalesce("component", "node").alias("component"))
+    return nodes.join(connected_components(table(spark, sf, "edges"), "node1", "node2"), "node", "full").select("node", F.coalesce("component", "node").alias("component"))
 
 
 #: The reference asks for words of its own library, which no text of these tables holds; these stand in: of a start, its file and an end.
