@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +12,8 @@ from folioforge.functions import text as tx
 from folioforge.functions import vector
 from folioforge.operators import chunking, export, filenames, graph, retrieval, shared_edges
 from folioforge.operators.components import connected_components
-from folioforge.session import table
+from folioforge.session import ensure_checkpoint_dir, table
+from folioforge.sources import gml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -272,6 +274,19 @@ def graph_compose_last_wins(spark, sf):
     return every.join(graph.compose(rows.where("source_file is not null"), "id", "source_file", ATTRIBUTES), "id", "left")
 
 
+@query("""SELECT DISTINCT unique_id AS label, coalesce(source_file, '') AS source_file, md5(coalesce(text, '')) AS text_md5, coalesce(array_to_string(list_filter(entities, lambda x: x IS NOT NULL), ','), '') AS entities
+FROM build_graph WHERE unique_id IS NOT NULL""")
+def gml_round_trip(spark, sf):
+    """The nodes written as a GML graph into the shared folder and read again."""
+    none = F.lit("")
+    props = F.create_map(F.lit("label"), F.col("unique_id"), F.lit("source_file"), F.coalesce("source_file", none), F.lit("text"), F.coalesce("text", none), F.lit("entities"), F.concat_ws(",", "entities"))
+    nodes = table(spark, sf, "build_graph").where("unique_id is not null").select("unique_id", "source_file", "text", "entities").distinct().select(F.lit("node").alias("block"), props.alias("props"))
+    folder = f"{ensure_checkpoint_dir(spark)}/gml-{uuid.uuid4().hex}"
+    gml.write_gml(nodes, folder)
+    p = lambda name: F.col("props")[name]
+    return gml.read_gml(spark, folder).where("block = 'node' and error is null").select(p("label").alias("label"), p("source_file").alias("source_file"), F.md5(p("text")).alias("text_md5"), p("entities").alias("entities"))
+
+
 @query("""WITH RECURSIVE p AS (SELECT DISTINCT source_file AS f, label AS l FROM simple_gml_to_csv WHERE source_file IS NOT NULL AND label IS NOT NULL),
 g AS (SELECT f, row_number() OVER (ORDER BY f) AS k FROM (SELECT DISTINCT f FROM p)),
 c AS (SELECT b.f, list(DISTINCT a.f) AS earlier FROM p a JOIN p b ON a.l = b.l AND a.f < b.f GROUP BY 1),

@@ -1,25 +1,25 @@
-"""GML graphs as a Spark data source: spark.read.format("gml") and df.write.format("gml").
+"""GML graphs by Spark's own text reader and writer: any file system that Spark knows, and large files in splits.
 
-Rows: block (node or edge), line_no of the block's first line, props map<string,string>, error (null, or why the block
-doesn't count). Brackets inside quoted text don't nest, lists of a repeated key are joined by commas, escapes and, with
-the option decodeEntities, HTML entities are decoded. An unterminated last block is an error row.
+Rows: block (node or edge), props map<string,string>, error (null, or why the block doesn't count), file. Brackets inside
+quoted text don't nest, lists of a repeated key are joined by commas, escapes and, with decode_entities, HTML entities are
+decoded. An unterminated last block is an error row.
 """
 
 from __future__ import annotations
 
-import glob
 import html
-import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
-from pyspark.sql.types import StructType
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-SCHEMA = "block string, line_no bigint, props map<string,string>, error string, file string"
+#: Where a file is cut: the end of a block as graph libraries lay it out, two spaces in.
+BLOCK_END = "\n  ]"
+SCHEMA = "block string, props map<string,string>, error string, file string"
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]]|[^\s\[\]"]+|"')
+_QUOTE = re.compile(r'(?<!\\)"')
 _ESCAPE = re.compile(r'\\(["\\nt])')
 
 
@@ -31,22 +31,24 @@ def unquote(value: str, entities: bool) -> str:
 
 
 def _tokens(lines: Iterator[str]) -> Iterator[tuple[str, int]]:
-    """Tokens with their lines; a quoted value may run over several lines."""
-    held, since = "", 0
+    """Tokens with their lines; a quoted value may run over several lines, each of which is looked at once."""
+    held: list[str] = []
+    since, odd = 0, False
     for n, line in enumerate(lines, 1):
-        text = held + line
         if not held:
             if line.lstrip().startswith("#"):
                 continue
             since = n
-        if len(re.findall(r'(?<!\\)"', text)) % 2:
-            held = text
+        held.append(line)
+        odd ^= len(_QUOTE.findall(line)) % 2 == 1
+        if odd:
             continue
-        held = ""
+        text = "".join(held)
+        held.clear()
         for m in _TOKEN.finditer(text):
             yield m.group(), since
     if held:
-        yield held.rstrip("\n"), since
+        yield "".join(held).rstrip("\n"), since
 
 
 def parse_gml(lines: Iterator[str], entities: bool = True) -> Iterator[tuple[str, int, dict[str, str], str | None]]:
@@ -104,81 +106,51 @@ def render_block(block: str, props: dict[str, str]) -> str:
     return "\n".join([*lines, "  ]"]) + "\n"
 
 
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.path = options.get("path", "")
-        self.entities = str(options.get("decodeentities", options.get("decodeEntities", "true"))).lower() == "true"
-
-    def partitions(self) -> list[_File]:
-        found = sorted(glob.glob(os.path.join(self.path, "**", "*.gml"), recursive=True)) if os.path.isdir(self.path) else sorted(glob.glob(self.path))
-        return [_File(p) for p in found]
-
-    def read(self, partition: _File) -> Iterator[tuple]:
-        with open(partition.path, encoding="utf-8", errors="replace") as f:
-            for block, line, props, error in parse_gml(f, self.entities):
-                yield block, line, props, error, os.path.basename(partition.path)
-
-
-@dataclass
-class _Done(WriterCommitMessage):
-    part: str
-
-
-class _Writer(DataSourceWriter):
-    """Each task writes a part; the commit keeps those of committed tasks only. Parts are whole graphs."""
-
-    def __init__(self, options: dict, overwrite: bool) -> None:
-        self.path, self.overwrite = options["path"], overwrite
-
-    def write(self, rows: Iterator) -> _Done:
-        from pyspark import TaskContext
-
-        task = TaskContext.get()
-        part = os.path.join(self.path, "_temporary", f"part-{task.partitionId():05d}-{task.taskAttemptId()}.gml")
-        os.makedirs(os.path.dirname(part), exist_ok=True)
-        with open(part, "w", encoding="utf-8") as f:
-            f.write("graph [\n")
-            for r in rows:
-                f.write(render_block(r["block"], r["props"] or {}))
-            f.write("]\n")
-        return _Done(part)
-
-    def commit(self, messages: list) -> None:
-        if self.overwrite:
-            for old in glob.glob(os.path.join(self.path, "*.gml")):
-                os.remove(old)
-        for m in messages:
-            if m is not None:
-                os.replace(m.part, os.path.join(self.path, os.path.basename(m.part)))
-        os.rmdir(os.path.join(self.path, "_temporary")) if os.path.isdir(os.path.join(self.path, "_temporary")) and not os.listdir(os.path.join(self.path, "_temporary")) else None
-
-    def abort(self, messages: list) -> None:
-        for m in messages:
-            if m is not None and os.path.exists(m.part):
-                os.remove(m.part)
-
-
-class GmlSource(DataSource):
-    """Format name: gml. Options: path, decodeEntities (default true)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "gml"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self.options)
-
-    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return _Writer(self.options, overwrite)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(GmlSource)
+def read_gml(spark: SparkSession, path: str, *, decode_entities: bool = True) -> DataFrame:
+    """The blocks of all files at path (a file, folder or pattern). A file is split between blocks, so a large one makes many
+    tasks; one laid out otherwise is read as a whole. A quoted text with a line that looks like the end of a block gives
+    error rows, not wrong ones, and so does the last block of a file that breaks off. No files raise Spark's error, empty
+    ones give no rows."""
+
+    def blocks(text: str, file: str, last: bool) -> Iterator[tuple]:
+        if "[" in text:
+            lines = (text if last else text + BLOCK_END).split("\n")
+            for block, _, props, error in parse_gml((line + "\n" for line in lines), decode_entities):
+                yield block, list(props.items()), error, file
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None  # a record stays until the next one shows whether it was the last of its file
+        types = (pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string())
+
+        def rows(found: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*found)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "props", "error", "file"])
+
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held is not None:
+                    out += blocks(held[0], held[1], held[3] and held[1:3] != row[1:3])
+                held = row
+            yield rows(out)
+        if held is not None:
+            yield rows(list(blocks(held[0], held[1], held[3])))
+
+    read = spark.read.option("lineSep", BLOCK_END).option("recursiveFileLookup", "true").text(path)
+    at = F.col("_metadata")
+    ends = at["file_block_start"] + at["file_block_length"] >= at["file_size"]
+    return read.select("value", at["file_path"].alias("path"), at["file_block_start"].alias("start"), ends.alias("ends")).mapInArrow(run, SCHEMA).withColumn("file", F.regexp_extract("file", r"([^/]*)$", 1))
+
+
+def write_gml(blocks: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+    """Write blocks (block, props) as text files, each a whole graph, by Spark's committer. Null properties are left out,
+    null props are an empty block; rows without a block are dropped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(["graph ["])], names=["value"])
+        for batch in batches:
+            texts = [render_block(b, dict(p or ())).rstrip("\n") for b, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+    blocks.where("block is not null").select("block", "props").mapInArrow(run, "value string").write.mode(mode).text(path)

@@ -33,18 +33,32 @@ def test_parse():
 
 
 def test_round_trip(spark, tmp_path):
-    gml.register(spark)
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "g.gml").write_text(SAMPLE)
-    rows = spark.read.format("gml").load(str(tmp_path / "in"))
-    assert rows.count() == 4
+    (tmp_path / "in" / "h.gml").write_text("graph [\n]\n")
+    rows = gml.read_gml(spark, str(tmp_path / "in"))
+    assert sorted((r.block, r.error, r.file) for r in rows.collect() if r.error) == [("node", "unterminated block", "g.gml")] and rows.count() == 4
     good = rows.where("error is null").select("block", "props")
-    good.coalesce(1).write.format("gml").mode("append").save(str(tmp_path / "out"))
-    back = spark.read.format("gml").load(str(tmp_path / "out"))
+    gml.write_gml(good.coalesce(1), str(tmp_path / "out"), mode="append")
+    back = gml.read_gml(spark, str(tmp_path / "out"))
     key = lambda r: (r.block, sorted(r.props.items()))
     assert sorted(map(key, back.collect())) == sorted(map(key, good.collect()))
 
 
+def test_large_file_in_splits(spark, tmp_path):
+    """A file is cut between its blocks and read by many tasks, with the same rows."""
+    props = [{"id": str(k), "label": f"n{k}", "text": "a [b] \"c\"\n" * (k % 7)} for k in range(3000)]
+    (tmp_path / "g.gml").write_text("graph [\n" + "".join(gml.render_block("node", p) for p in props) + "]\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = gml.read_gml(spark, str(tmp_path / "g.gml"))
+        assert rows.rdd.getNumPartitions() > 3
+        got = {r.props["id"]: r for r in rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 3000 and all(got[p["id"]].props == p and got[p["id"]].error is None for p in props)
+
+
 def test_documents(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.TXT").write_bytes("café".encode())
