@@ -106,6 +106,17 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text, r"[ \t\n\r\f\x0B]+"), lambda x: x != ""))
 
 
+def estimated_tokens(text: Column) -> Column:
+    """A rough number of tokens: a quarter of the characters, rounded down; null for null."""
+    return F.floor(F.char_length(text) / 4)
+
+
+def number_kind(value: Column) -> Column:
+    """`int`, `float` or `text`, by the form of a bare value; null for null."""
+    form = F.when(value.rlike(r"^[+-]?[0-9]+$"), "int").when(value.rlike(r"^[+-]?(?:[0-9]+\.[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"), "float")
+    return F.when(value.isNotNull(), form.otherwise("text"))
+
+
 def sentences(text: Column) -> Column:
     """Trimmed sentences: the text is cut after `.`, `!` or `?` with white space behind; blank ones are dropped."""
     return F.filter(F.transform(F.split(text, r"(?<=[.!?])[ \t\n\r]+"), lambda x: F.trim(x)), lambda x: x != "")

@@ -25,6 +25,16 @@ def clean_file_name(name: Column, prefixes: Sequence[str] = ()) -> Column:
     return F.concat(F.regexp_replace(stem, "_+", "_"), extension)
 
 
+def without_author_prefix(stem: Column) -> Column:
+    """A stem `Author-Title_by_Author...` (or `de`) without the author in front, whose first word comes again behind the title."""
+    return F.regexp_replace(stem, r"(?i)^([^-_]+)[^-]*-((?:.*[^\p{L}\p{N}])?(?:by|de)_+\1.*)$", "$2")
+
+
+def without_repeated_phrase(stem: Column) -> Column:
+    """A stem in which the same run of two or more words, joined by `_`, follows on itself has it once."""
+    return F.regexp_replace(stem, r"(?i)(^|[_\-])((?:[^_\-]+_)+[^_\-]+)[_\-]\2(?=$|[_\-])", "$1$2")
+
+
 def copy_stem(name: Column) -> Column:
     """The name without a mark of a copy or revision before its extension, in lower case."""
     return F.lower(F.regexp_replace(name, r"(?i)(?: \(copy\)|_[0-9]+|_rev|-v[0-9]+|_[0-9]+(?:st|nd|rd|th)_ed)?\.[^.]*$", ""))

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,46 +26,83 @@ def nearest(vectors: DataFrame, query: Sequence[float], k: int, *, metric: str =
     return fit.withColumn("distance", METRICS[metric](F.col(embedding), q)).orderBy("distance", key).limit(k)
 
 
+class _Best:
+    """The k nearest rows so far for each query of a block."""
+
+    def __init__(self, matrix: np.ndarray, k: int) -> None:
+        self.matrix, self.k = matrix, k
+        self.keys, self.dist = np.zeros((len(matrix), 0), np.int64), np.zeros((len(matrix), 0))
+
+    def add(self, keys: pa.Array, vectors: pa.Array) -> None:
+        """Vectors of another length, and null ones, are passed over."""
+        width = self.matrix.shape[1]
+        fit = pa.array(np.array(vectors.value_lengths().fill_null(0)) == width)
+        keys, vectors = keys.filter(fit), vectors.filter(fit)
+        if len(keys) == 0:
+            return
+        x = np.asarray(vectors.flatten(), np.float64).reshape(-1, width)
+        d = (self.matrix**2).sum(1)[:, None] - 2 * self.matrix @ x.T + (x**2).sum(1)[None, :]
+        keys = np.concatenate((self.keys, np.broadcast_to(np.asarray(keys, np.int64), d.shape)), axis=1)
+        dist = np.concatenate((self.dist, np.round(np.maximum(d, 0), 9)), axis=1)
+        if dist.shape[1] > 4 * self.k:  # all up to the k-th distance, then the ties in order
+            last = np.partition(dist, self.k - 1, axis=1)[:, self.k - 1 : self.k]
+            most = int((dist <= last).sum(axis=1).max())
+            order = np.argpartition(dist, most - 1, axis=1)[:, :most] if most < dist.shape[1] else np.broadcast_to(np.arange(dist.shape[1]), dist.shape)
+            keys, dist = np.take_along_axis(keys, order, 1), np.take_along_axis(dist, order, 1)
+        order = np.lexsort((keys, dist), axis=1)[:, : self.k]
+        self.keys, self.dist = np.take_along_axis(keys, order, 1), np.take_along_axis(dist, order, 1)
+
+    def rows(self, ids: np.ndarray) -> list[pa.Array]:
+        return [pa.array(np.repeat(ids, self.keys.shape[1])), pa.array(self.keys.ravel()), pa.array(self.dist.ravel())]
+
+
+FOUND = "query_id bigint, k bigint, distance double"
+ROWS = 50_000  # vectors of a tile
+
+
 def nearest_for_all(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id", embedding: str = "embedding", block: int = 2048) -> DataFrame:
     """(query_id, rank, key, distance) of the k nearest vectors by squared L2 for each query (query_id, embedding), ties by key.
 
-    Queries come in blocks of `block` rows, one matrix product of a block with each Arrow batch of vectors; a task keeps
-    k rows a query, and only those meet in the final ranking. A block is what a task holds, whatever the number of queries.
+    One block of queries goes to all tasks and meets the vectors where they lie. More queries are tiled: blocks of `block`
+    queries against blocks of some ROWS vectors, each pair of them a matrix product of its own, so nothing grows with
+    either side. Only k rows a query leave a task or tile. The first query's length counts; null vectors and those of
+    another length are passed over.
     """
-    out = None
-    held = queries.where(F.col(embedding).isNotNull()).select("query_id", embedding)
-    rows = held.toLocalIterator()
-    while True:
-        part = [r for _, r in zip(range(block), rows)]
-        if not part:
-            break
-        ids, matrix = [r[0] for r in part], np.array([r[1] for r in part], np.float64)
-
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, matrix=matrix) -> Iterator[pa.RecordBatch]:
-            keys, dist = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
-            width = matrix.shape[1]
+    held = queries.where(F.col(embedding).isNotNull()).select(F.col("query_id").cast("bigint").alias("query_id"), F.col(embedding).alias("q"))
+    rows = vectors.where(F.col(embedding).isNotNull()).select(F.col(key).cast("bigint").alias("k"), F.col(embedding).alias("v"))
+    first = held.limit(block + 1).collect()
+    if len(first) <= block:
+        ids, matrix = np.array([r[0] for r in first], np.int64), np.array([r[1] for r in first], np.float64)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = _Best(matrix, k)
             for batch in batches:
-                sizes = np.array(batch.column(1).value_lengths().fill_null(0))
-                fit = batch.filter(pa.array(sizes == width))
-                if fit.num_rows == 0:
-                    continue
-                x = np.asarray(fit.column(1).flatten(), np.float64).reshape(-1, width)
-                d = (matrix**2).sum(1)[:, None] - 2 * matrix @ x.T + (x**2).sum(1)[None, :]
-                keys = np.concatenate((keys, np.broadcast_to(np.asarray(fit.column(0), np.int64), d.shape)), axis=1)
-                dist = np.concatenate((dist, np.maximum(d, 0)), axis=1)
-                # one more than k with the same distance must not be lost: sort by distance, then key
-                order = np.lexsort((keys, np.round(dist, 9)), axis=1)[:, :k]
-                keys, dist = np.take_along_axis(keys, order, 1), np.take_along_axis(dist, order, 1)
-            n = keys.shape[1]
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), n)), pa.array(keys.ravel()), pa.array(np.round(dist, 9).ravel())], names=["query_id", "k", "distance"])
-
-        found = vectors.select(key, embedding).mapInArrow(run, "query_id bigint, k bigint, distance double")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return vectors.select(F.lit(0).cast("bigint").alias("query_id"), F.lit(0).alias("rank"), F.col(key), F.lit(0.0).alias("distance")).limit(0)
+                best.add(batch.column(0), batch.column(1))
+            if best.keys.shape[1]:
+                yield pa.RecordBatch.from_arrays(best.rows(ids), names=["query_id", "k", "distance"])
+
+        found = rows.mapInArrow(run, FOUND) if first else rows.select(F.lit(0).cast("bigint").alias("query_id"), "k", F.lit(0.0).alias("distance")).limit(0)
+    else:
+        n_q, n_v = (max(1, -(-df.count() // n)) for df, n in ((held, block), (rows, ROWS)))
+        dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        a = held.select(dealt("query_id", n_q).alias("i"), every(n_v).alias("j"), F.lit(True).alias("asks"), F.col("query_id").alias("id"), F.col("q").alias("x"))
+        b = rows.select(every(n_q).alias("i"), dealt("k", n_v).alias("j"), F.lit(False).alias("asks"), F.col("k").alias("id"), F.col("v").alias("x"))
+
+        def tile(part: pa.Table) -> pa.Table:
+            asks, own = part.filter(part.column("asks")).combine_chunks(), part.filter(pc.invert(part.column("asks"))).combine_chunks()
+            none = pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["query_id", "k", "distance"])
+            if not len(asks) or not len(own):
+                return none
+            best = _Best(np.array(asks.column("x").to_pylist(), np.float64), k)
+            column = own.column("x").chunk(0)
+            for start in range(0, len(own), 8192):
+                best.add(own.column("id").chunk(0).slice(start, 8192), column.slice(start, 8192))
+            return pa.table(best.rows(asks.column("id").to_numpy()), names=none.column_names)
+
+        found = a.unionByName(b).groupBy("i", "j").applyInArrow(tile, FOUND)
     w = Window.partitionBy("query_id").orderBy("distance", "k")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", F.col("k").alias(key), "distance")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", F.col("k").alias(key), "distance")
 
 
 def by_ids(table: DataFrame, ids: Sequence[int], key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
 from folioforge.functions import vector
-from folioforge.operators import chunking, export, filenames, graph, retrieval, shared_edges
+from folioforge.operators import ann, chunking, export, filenames, graph, retrieval, shared_edges
 from folioforge.operators.components import connected_components
 from folioforge.session import ensure_checkpoint_dir, table
 from folioforge.sources import gml
@@ -610,6 +610,31 @@ def knn_multi_query(spark, sf):
     return _multi(spark, sf).withColumn("distance", F.round("distance", 6))
 
 
+@query(f"{MULTI} SELECT query_id, rank::INT AS rank, vec_id, round(distance, 6) AS distance FROM r WHERE rank <= 5")
+def ann_all_cells(spark, sf):
+    """Every cell of the index probed: every row is in it, and the result is exact."""
+    vectors = table(spark, sf, "embeddings")
+    centres = ann.fit_centres(vectors, 16)
+    found = ann.probe(ann.cells_of(vectors, centres), vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), centres, 5, n_probe=16)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query()
+def ann_recall(spark, sf):
+    """Share of the five nearest rows that the nearest cells hold, over the query set."""
+    vectors = table(spark, sf, "embeddings")
+    queries = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    centres = ann.fit_centres(vectors, 16)
+    found = ann.probe(ann.cells_of(vectors, centres), queries, centres, 5, n_probe=8).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    true = _multi(spark, sf).select("query_id", "vec_id")
+    return true.join(found, ["query_id", "vec_id"], "left").agg(F.count(F.lit(1)).alias("n_true"), F.round(F.avg(F.coalesce("hit", F.lit(0))), 6).alias("recall"))
+
+
+@query("SELECT doc_id, (length(text) // 4)::BIGINT AS n_tokens FROM documents")
+def token_estimates(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", tx.estimated_tokens(F.col("text")).alias("n_tokens"))
+
+
 @query(f"""{MULTI}, l AS (SELECT query_id, list(vec_id) AS a FROM r WHERE rank <= 5 GROUP BY 1), m AS (SELECT query_id, list(vec_id) AS b FROM r WHERE rank BETWEEN 2 AND 6 GROUP BY 1)
 SELECT query_id, len(list_intersect(a, b)) * 100.0 / 5 AS overlap_percent FROM l JOIN m USING (query_id)""")
 def topk_overlap(spark, sf):

@@ -58,6 +58,9 @@ def decoded(content: Column) -> Column:
     return F.when(F.expr("is_valid_utf8(content)"), F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
 
 
+LISTED = 10_000  # new files that may stand in a filter on the listing, which spares the reader all others
+
+
 def read_documents(spark: SparkSession, folder: str, extensions: Sequence[str] = (*PLAIN, *MARKUP, *ZIPPED), processed: DataFrame | None = None, pdf_text=None) -> DataFrame:
     """All files below folder whose extension is listed, in any letter case, without those in processed (path, length, modified).
 
@@ -65,10 +68,15 @@ def read_documents(spark: SparkSession, folder: str, extensions: Sequence[str] =
     read as empty. One plan for all files; contents don't reach the driver.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    named = files.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).alias("extension"), "length", F.col("modificationTime").alias("modified"), "content")
+    named = files.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).alias("extension"), "length", F.col("modificationTime").alias("modified"), F.col("_metadata.file_path").alias("at"), "content")
     named = named.where(F.col("extension").isin(*extensions))
-    if processed is not None:
-        named = named.join(processed.select("path", "length", "modified").distinct(), ["path", "length", "modified"], "left_anti")
+    if processed is not None:  # by the listing alone; contents are read for the files that stay
+        listed = named.select("path", "length", "modified", "at").join(processed.select("path", "length", "modified").distinct(), ["path", "length", "modified"], "left_anti")
+        paths = [r["at"] for r in listed.select("at").limit(LISTED + 1).collect()]
+        if len(paths) <= LISTED:
+            named = named.where(F.col("at").isin(*paths)) if paths else named.limit(0)
+        else:
+            named = named.join(listed.select("at"), "at", "left_semi")
 
     @F.pandas_udf("string")
     def unpack(content: pd.Series, kind: pd.Series) -> pd.Series:
@@ -83,7 +91,7 @@ def read_documents(spark: SparkSession, folder: str, extensions: Sequence[str] =
         return pd.Series(out)
 
     text = F.when(F.col("extension").isin(*PLAIN), decoded(F.col("content"))).otherwise(unpack("content", "extension"))
-    return named.withColumn("text", text).drop("content")
+    return named.withColumn("text", text).drop("content", "at")
 
 
 def worth_reading(docs: DataFrame, least: int = 100) -> DataFrame:

@@ -142,6 +142,12 @@ def read_gml(spark: SparkSession, path: str, *, decode_entities: bool = True) ->
     return read.select("value", at["file_path"].alias("path"), at["file_block_start"].alias("start"), ends.alias("ends")).mapInArrow(run, SCHEMA).withColumn("file", F.regexp_extract("file", r"([^/]*)$", 1))
 
 
+def property_names(blocks: DataFrame) -> DataFrame:
+    """(block, name, n_blocks): the properties that the good blocks carry, over all of them; optional columns are those of some."""
+    names = blocks.where("error is null").select("block", F.explode(F.map_keys("props")).alias("name"))
+    return names.groupBy("block", "name").agg(F.count(F.lit(1)).alias("n_blocks"))
+
+
 def write_gml(blocks: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     """Write blocks (block, props) as text files, each a whole graph, by Spark's committer. Null properties are left out,
     null props are an empty block; rows without a block are dropped."""

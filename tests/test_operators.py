@@ -222,6 +222,42 @@ def test_entity_graph(spark):
     assert got == {("p", "c1", "has_child", 1), ("X", "Y", "co_occurs_with", 2)} | {(c, x, "mentions", 1) for c, x in said}
 
 
+def test_tiles_and_cells(spark, monkeypatch):
+    import numpy as np
+
+    from folioforge.operators import ann
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(700, 8)) + rng.integers(0, 5, (700, 1)) * 3
+    x[10:20] = x[0]  # ties
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(9000, None), (9001, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    queries = df.where("vec_id % 7 = 0").withColumnRenamed("vec_id", "query_id")
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2).round(9)
+    want = {(q, r + 1): int(k) for q in range(0, 700, 7) for r, k in enumerate(np.lexsort((np.arange(700), d[q]))[:6])}
+    monkeypatch.setattr(retrieval, "ROWS", 200)
+    fit = queries.where("size(embedding) = 8")
+    for block in (2048, 30):
+        got = {(r.query_id, r.rank): r.vec_id for r in retrieval.nearest_for_all(df, fit, 6, block=block).collect()}
+        assert got == want
+    centres = ann.fit_centres(df, 12)
+    index = ann.cells_of(df, centres)
+    assert index.count() == 700
+    exact = {(r.query_id, r.rank): r.vec_id for r in ann.probe(index, fit, centres, 6, n_probe=12).collect()}
+    assert exact == want
+    some = {(r.query_id, r.vec_id) for r in ann.probe(index, fit, centres, 6, n_probe=4).collect()}
+    assert len(some & {(q, k) for (q, _), k in want.items()}) >= 0.9 * len(want)
+    assert retrieval.nearest_for_all(df, fit.limit(0), 6).count() == retrieval.nearest_for_all(df.limit(0), fit, 6).count() == 0
+
+
+def test_small_text_helpers(spark):
+    assert one(spark, "12345678 9", tx.estimated_tokens) == 2 and one(spark, None, tx.estimated_tokens) is None
+    assert [one(spark, v, tx.number_kind) for v in ("12", "-1.5", "1e", "", None)] == ["int", "float", "text", "text", None]
+    assert one(spark, "Thomas-Sfintenia_de_Thomas_Cook", filenames.without_author_prefix) == "Sfintenia_de_Thomas_Cook"
+    assert one(spark, "Owen-On_Grace_by_Knox", filenames.without_author_prefix) == "Owen-On_Grace_by_Knox"
+    assert one(spark, "Of_Free_Grace_Of_Free_Grace_II", filenames.without_repeated_phrase) == "Of_Free_Grace_II"
+
+
 def test_full_citation(spark):
     rows = [("985", "1865", "T", "214", "a/b.pdf"), ("", None, "Unknown Title", None, "a/b.pdf"), (None, None, None, "", None), (None, "1865", None, None, "x"), ("7", "", "T", None, "x")]
     df = spark.createDataFrame(rows, "n string, d string, t string, p string, s string")
