@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.session import cut_lineage
@@ -107,6 +107,22 @@ def merge_aliases(edges: DataFrame, aliases: DataFrame) -> DataFrame:
     return moved.where("x <> y").groupBy(F.least("x", "y").alias("src"), F.greatest("x", "y").alias("dst")).agg(F.sum("weight").alias("weight"))
 
 
+def merge_alias_nodes(nodes: DataFrame, aliases: DataFrame, attributes: Sequence[str], node: str = "node") -> DataFrame:
+    """(node, n_merged, attributes as arrays): nodes under their canonical ids, each attribute combined: the distinct values
+    of all aliases in ascending order, null and empty ones left out. aliases: alias, canonical; others keep their id."""
+    one = aliases.groupBy("alias").agg(F.min("canonical").alias("canonical")).withColumnRenamed("alias", node)
+    named = nodes.where(F.col(node).isNotNull()).join(one, node, "left").withColumn("__to", F.coalesce("canonical", node))
+    held = [F.array_sort(F.collect_set(F.when(F.col(a).cast("string") != "", F.col(a)))).alias(a) for a in attributes]  # as many as aliases
+    return named.groupBy(F.col("__to").alias(node)).agg(F.count_distinct(F.col(node)).alias("n_merged"), *held)
+
+
+def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """existing with the rows of new whose keys, null-safe, it lacks; of rows of new with equal keys one stays, the least by all columns."""
+    both = existing.withColumn("__age", F.lit(0)).unionByName(new.withColumn("__age", F.lit(1)), allowMissingColumns=True)
+    order = Window.partitionBy(*keys).orderBy("__age", *(c for c in both.columns if c not in (*keys, "__age")))
+    return both.withColumn("__k", F.row_number().over(order)).where("__k = 1 or __age = 0").drop("__k", "__age")
+
+
 def trails(edges: DataFrame, starts: DataFrame, hops: int) -> DataFrame:
     """(start, finish, n_hops, weight) of every undirected trail of 1 to hops edges from the start nodes, no edge used twice.
 

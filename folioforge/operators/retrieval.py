@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import vector
 from folioforge.operators.numbering import number_rows
+from folioforge.session import cut_lineage
 
 METRICS = {"l2sq": vector.squared_l2, "cosine": lambda a, b: 1 - vector.cosine(a, b), "dot": lambda a, b: -vector.dot(a, b)}
 
@@ -136,11 +137,13 @@ def _count_of(words: Column, term: str) -> Column:
 def bm25(docs: DataFrame, query: Sequence[str], *, key: str, text: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(key, score) of documents with at least one query term. Statistics cover all documents with a non-null text.
 
-    One pass gives lengths, document frequencies and their number; a second one scores. No posting list is built.
+    Texts are cut into terms once: their length and the counts of the terms asked for, a few numbers a document, are
+    written to the checkpoint folder; statistics and scores are read from there.
     """
     asked = [t.lower() for t in dict.fromkeys(query)]
     words = terms_of(F.col(text))
     counted = docs.where(F.col(text).isNotNull()).select(F.col(key), F.size(words).alias("n_terms"), *(_count_of(words, t).alias(f"tf{j}") for j, t in enumerate(asked)))
+    counted = cut_lineage(counted)
     stats = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("n_terms").alias("avg"), *(F.count_if(F.col(f"tf{j}") > 0).alias(f"df{j}") for j in range(len(asked)))).first()
     score = F.lit(0.0)
     for j in range(len(asked)):

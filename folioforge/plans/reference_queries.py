@@ -169,6 +169,19 @@ def entity_graph_edges(spark, sf):
     return shared_edges.entity_graph_edges(nodes.select(F.col("unique_id").alias("node"), F.col("parent_id").alias("parent")), mentions)
 
 
+@query(f"""WITH {CHUNKS}, o AS (SELECT DISTINCT unique_id AS node, lower(trim(unnest(keywords))) AS theme FROM chunks WHERE unique_id IS NOT NULL),
+e AS (SELECT node, theme FROM o WHERE theme <> ''),
+l AS (SELECT list(DISTINCT item) AS k FROM lexicon WHERE field = 'keyword'),
+f AS (SELECT DISTINCT unique_id AS node, unnest(list_filter(k, lambda t: contains(lower(text), lower(t)))) AS theme FROM chunks, l WHERE unique_id IS NOT NULL AND text IS NOT NULL)
+SELECT node, theme, 'tagged' AS origin FROM e UNION ALL SELECT node, theme, 'text' FROM f WHERE (node, theme) NOT IN (SELECT (node, theme) FROM e)""")
+def theme_upsert(spark, sf):
+    """Theme edges of the nodes' own tags, and those that their texts add."""
+    nodes = chunks(spark, sf).where("unique_id is not null").select(F.col("unique_id").alias("node"), "keywords", "text")
+    own = nodes.select("node", F.explode("keywords").alias("theme")).withColumn("theme", F.lower(F.trim("theme"))).where("theme <> ''").distinct().withColumn("origin", F.lit("tagged"))
+    found = nodes.where("text is not null").select("node", F.explode(tx.contained_terms(F.col("text"), _lexicon(spark, sf, "keyword"))).alias("theme")).distinct().withColumn("origin", F.lit("text"))
+    return graph.upsert(own, found, ["node", "theme"])
+
+
 # ---- graph statistics, lookup, merging
 
 
@@ -222,6 +235,17 @@ def cross_file_edges(spark, sf):
 _STEM_SQL = r"lower(regexp_replace({0}, '(?i)( \(copy\)|_[0-9]+|_rev|-v[0-9]+|_[0-9]+(st|nd|rd|th)_ed)?\.[^.]*$', ''))"
 
 
+@query(f"""WITH c AS (SELECT source_file, title, author, {_STEM_SQL.format('source_file')} AS node FROM source_catalog WHERE source_file IS NOT NULL)
+SELECT node, count(DISTINCT source_file) AS n_merged, coalesce(array_to_string(list_sort(list(DISTINCT title) FILTER (title <> '')), '|'), '') AS title,
+coalesce(array_to_string(list_sort(list(DISTINCT author) FILTER (author <> '')), '|'), '') AS author FROM c GROUP BY 1""")
+def alias_node_merge(spark, sf):
+    """The books of the catalogue under the names of their first copies, titles and authors combined."""
+    books = table(spark, sf, "source_catalog").select(F.col("source_file").alias("node"), "title", "author")
+    aliases = books.where("node is not null").select(F.col("node").alias("alias"), filenames.copy_stem(F.col("node")).alias("canonical")).distinct()
+    out = graph.merge_alias_nodes(books, aliases, ["title", "author"])
+    return out.withColumns({c: F.array_join(c, "|") for c in ("title", "author")})
+
+
 @query(f"""WITH {CROSS}, m AS (SELECT {_STEM_SQL.format('group1')} AS a, {_STEM_SQL.format('group2')} AS b, n_edges FROM cross_counts WHERE group1 < group2)
 SELECT least(a, b) AS src, greatest(a, b) AS dst, sum(n_edges)::BIGINT AS weight FROM m WHERE a <> b GROUP BY 1, 2""")
 def alias_merge(spark, sf):
@@ -625,7 +649,7 @@ def ann_recall(spark, sf):
     vectors = table(spark, sf, "embeddings")
     queries = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
     centres = ann.fit_centres(vectors, 16)
-    found = ann.probe(ann.cells_of(vectors, centres), queries, centres, 5, n_probe=8).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    found = ann.probe(ann.cells_of(vectors, centres), queries, centres, 5, n_probe=12).select("query_id", "vec_id", F.lit(1).alias("hit"))
     true = _multi(spark, sf).select("query_id", "vec_id")
     return true.join(found, ["query_id", "vec_id"], "left").agg(F.count(F.lit(1)).alias("n_true"), F.round(F.avg(F.coalesce("hit", F.lit(0))), 6).alias("recall"))
 

@@ -273,6 +273,17 @@ def test_prefix_follows_the_order(spark):
     assert got == {(g, x): (f"{g}_{x}" if g in "be" else x) for g, s in held.items() for x in s} and graph.merge_with_prefix(df.limit(0), "g", "x").count() == 0
 
 
+def test_upsert_and_alias_nodes(spark):
+    old = spark.createDataFrame([("a", "t", 1), ("a", "t", 2), (None, "t", 1)], "n string, k string, w int")
+    new = spark.createDataFrame([("a", "t", 9), ("b", "t", 8), ("b", "t", 7), (None, "t", 5), ("c", None, 1)], "n string, k string, w int")
+    got = sorted((tuple(r) for r in graph.upsert(old, new, ["n", "k"]).collect()), key=str)
+    assert got == sorted([("a", "t", 1), ("a", "t", 2), (None, "t", 1), ("b", "t", 7), ("c", None, 1)], key=str)
+    nodes = spark.createDataFrame([("J. Owen", "x", ""), ("John Owen", "y", None), ("John Owen", "x", "d"), ("Knox", None, None), (None, "z", "z")], "node string, p string, q string")
+    aliases = spark.createDataFrame([("J. Owen", "John Owen"), ("unused", "z")], "alias string, canonical string")
+    merged = {r.node: (r.n_merged, r.p, r.q) for r in graph.merge_alias_nodes(nodes, aliases, ["p", "q"]).collect()}
+    assert merged == {"John Owen": (2, ["x", "y"], ["d"]), "Knox": (1, [], [])}
+
+
 def test_verses(spark):
     for text, want in {"xJohn 3:16": [], "John 13:4,7 and on": ["John 13:4,7"], "9 Kings 1:2": ["9 Kings 1:2"], "": []}.items():
         assert one(spark, text, tx.verse_references) == want
