@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.session import cut_lineage
+
 
 def dense_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str], *, flush_keys: int = 1 << 20) -> DataFrame:
     """Sum of each measure (bigint columns of df, null counts as 0) for each key, keys null-safe.
@@ -73,15 +75,32 @@ def _present(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def _codes_tell(names: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether the 8-byte hashes of the rows of names, which are distinct, are so too."""
+    size = names.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.xxhash64(*columns)).alias("codes")).first()
+    return size.n == size.codes
+
+
 def key_profile(edges: DataFrame) -> DataFrame:
     """(edge_type, shared_item, n_rows, n_edges, n_nodes) of every key with neither part null nor empty.
 
     n_rows counts repeated rows; n_edges counts distinct unordered node pairs (an edge with a null end has no pair and is
     not counted); n_nodes counts distinct non-null ends. Columns beyond node1, node2, edge_type and shared_item are ignored.
-    An empty table gives no rows.
+    An empty table gives no rows. Keys and nodes move as codes of 8 bytes; should two of them have the same one, as they are.
     """
     keys = ["edge_type", "shared_item"]
-    valid = edges.where(_present(F.col("edge_type")) & _present(F.col("shared_item")))
+    valid = edges.where(_present(F.col("edge_type")) & _present(F.col("shared_item"))).select(*keys, "node1", "node2")
+    named = cut_lineage(valid.select(*keys).distinct())
+    nodes = valid.select(F.explode(F.array("node1", "node2")).alias("node")).where(F.col("node").isNotNull()).distinct()
+    if not (_codes_tell(named, keys) and _codes_tell(nodes, ["node"])):
+        return _profile(valid, keys)
+    code = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c)
+    counts = _profile(valid.select(F.xxhash64(*keys).alias("key"), code("node1"), code("node2")), ["key"])
+    names = named.withColumn("key", F.xxhash64(*keys).cast("string"))
+    return counts.join(names, "key").select(*keys, "n_rows", "n_edges", "n_nodes")
+
+
+def _profile(valid: DataFrame, keys: Sequence[str]) -> DataFrame:
     ordered = F.when(F.col("node1").isNotNull() & F.col("node2").isNotNull(), F.least("node1", "node2"))
     # repeated and reversed edges collapse here; the hash covers the pair, so no key is placed as a whole
     pairs = (
