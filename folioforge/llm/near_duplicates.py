@@ -195,7 +195,8 @@ def _verified(met: DataFrame, width: int, threshold: float) -> DataFrame:
 
 
 def least_bits(threshold: float) -> int:
-    """Agreeing bits of 64 that a pair at the threshold has with all but some 3 in a million: mean less 4.5 deviations."""
+    """Agreeing bits of 64 that a pair at the threshold has with all but some 3 in a million, mean less 4.5 deviations: so few
+    links at the threshold are lost, and fewer above it."""
     p = (1 + threshold) / 2
     return int(np.floor(64 * p - 4.5 * np.sqrt(64 * p * (1 - p))))
 

@@ -3,11 +3,12 @@
 A context is the run of characters read backwards from a position. The model counts, over all documents, how often a
 sentence or text ended after a context and how often it went on. Contexts are read in three ways:
 
-* the last word back to its start: does a word end here or go on with a letter;
+* the last word back to its start, by itself, in its language, and with the 4 characters before it: does the word end here
+  or go on with a letter;
 * the last 3, 5, 8 and 12 characters as they stand;
-* the last 4, 7, 14 and 24 characters of the shape of the text, in which a word of more than three letters is one character
-  (by its case) and so is a number: contexts long enough to reach over a signature or clause, which recur although
-  content words differ.
+* the last word with 2, 6, 12 and 22 characters of the shape of the text before it; in the shape a word of more than three
+  letters is one character (by its case) and so is a number: contexts long enough to reach over a signature or clause,
+  which recur although content words differ.
 
 Counts stand in tables of fixed size that are addressed by a hash of the context, each in two rows of which the lesser
 counts, so the model has the same size for any corpus; a cell says only what exceeds the median of its table, which is
@@ -314,7 +315,7 @@ def language(lang: Column) -> Column:
 
 
 def train(docs: DataFrame) -> np.ndarray:
-    """The counts of the model over docs (text, lang, h): SLOTS float32, some 40 MB for any corpus.
+    """The counts of the model over docs (text, lang, h): SLOTS float32, 46 MB for any corpus.
 
     Copies of a text are one witness: texts whose hash occurs again are told by a filter, brought together and counted
     once; all others are counted where they are.
