@@ -350,3 +350,19 @@ def test_compose_all_attributes(spark, tmp_path):
     spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).write.parquet(f"{tmp_path}/simple_gml_to_csv.parquet")
     got = rq.graph_compose_last_wins(spark, str(tmp_path)).first().asDict()
     assert got == {"id": "x"} | {a: "text1" if a == "text" else f"{a}2" for a in rq.ATTRIBUTES}
+
+
+def test_postings_move_packed(spark, monkeypatch):
+    monkeypatch.setattr(shared_edges, "NODES", 50)  # twelve blocks or so
+    items = spark.createDataFrame([(f"n{k}", "entity", i) for k in range(600) for i in ("hub", f"i{k % 2}")], "node string, edge_type string, item string")
+    sc = spark.sparkContext
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for s in store(sc)}
+
+    def store(sc):
+        s = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return [s.apply(k) for k in range(s.size())]
+
+    before = set(stages())
+    r = shared_edges.overlap_edges(items).agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).first()
+    assert (r.n, r.w) == (600 * 599 // 2, 600 * 599 // 2 + 2 * 300 * 299 // 2)
+    assert max(v for k, v in stages().items() if k not in before) <= 1_200  # the postings once; not each of them for every block
