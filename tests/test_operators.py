@@ -366,3 +366,23 @@ def test_postings_move_packed(spark, monkeypatch):
     r = shared_edges.overlap_edges(items).agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).first()
     assert (r.n, r.w) == (600 * 599 // 2, 600 * 599 // 2 + 2 * 300 * 299 // 2)
     assert max(v for k, v in stages().items() if k not in before) <= 1_200  # the postings once; not each of them for every block
+
+
+def test_shared_items_joined(spark, monkeypatch, tmp_path):
+    from folioforge.plans.reference_queries import shared_item_edges_uncapped
+
+    monkeypatch.setattr(shared_edges, "NODES", 5)
+    monkeypatch.setattr(shared_edges, "PAIRS", 7)
+    rng = random.Random(8)
+    rows = [(f"n{k}", ["hub", *(f"e{rng.randrange(9)}" for _ in range(3))], [f"k{j}" for j in range(70)] if k < 3 else [f"k{rng.randrange(70)}"], ["hub"] if k % 2 else None) for k in range(20)]
+    spark.createDataFrame(rows, "unique_id string, entities array<string>, keywords array<string>, figures array<string>").write.parquet(f"{tmp_path}/build_graph.parquet")
+    want = {}
+    for a, *x in rows:
+        for b, *y in rows:
+            for kind, p, q in zip(("entity", "keyword", "figure"), x, y):
+                if a < b and (both := sorted({*(p or ())} & {*(q or ())})):
+                    want[a, b, kind] = (len(both), "|".join(both[:3]))
+    edges = shared_item_edges_uncapped(spark, str(tmp_path))
+    got = [tuple(r) for r in edges.select("src", "dst", "edge_type", "weight", "shared").collect()]
+    assert len(got) == len(want) and {r[:3]: r[3:] for r in got} == want
+    assert "array_join" not in edges._jdf.queryExecution().executedPlan().toString()  # joined for each combination, not for each pair
